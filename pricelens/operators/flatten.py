@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.joins import bounded_broadcast
+from ..plans.joins import bounded_broadcast, fits_broadcast
 from ..schemas import BASE_FIELDS, DOC_KEY, NPI_RATES_COLUMNS, PRICE_FIELDS, RATES_COLUMNS
 from .unnest import unnest
 
@@ -34,17 +34,25 @@ REF_COL = "exploded_negotiated_rates_provider_references"
 ITEM_COLUMNS = ["billing_code", "billing_code_type", "billing_code_type_version", "description", "name"]
 
 
-def attach_base(providers: DataFrame, base: DataFrame, columns: list[str] | None = None) -> DataFrame:
+def _mark(counter, name: str, df: DataFrame) -> DataFrame:
+    return counter.mark(name, df) if counter is not None else df
+
+
+def attach_base(providers: DataFrame, base: DataFrame, columns: list[str] | None = None,
+                counter=None) -> DataFrame:
     """J1: every provider row gets the header of its document.
 
     An equi-join on the document key instead of a cross join: with one document
     it gives the same rows, with many it does not multiply documents together.
     A document without a header row loses its providers, as a cross join with an
-    empty side would.
+    empty side would. The header table is broadcast after a bounded row count.
     """
     cols = columns or providers.columns
-    b = bounded_broadcast(base.select(DOC_KEY, *BASE_FIELDS))
-    return providers.select(*cols).join(b, DOC_KEY, "inner")
+    b = base.select(DOC_KEY, *BASE_FIELDS)
+    small = fits_broadcast(b)
+    b = _mark(counter, "base", b)
+    p = _mark(counter, "provider_references", providers.select(*cols))
+    return _mark(counter, "providers_with_base", p.join(F.broadcast(b) if small else b, DOC_KEY, "inner"))
 
 
 def explode_rates(in_network: DataFrame, extra: list[str] | None = None, keep_empty: bool = False) -> DataFrame:
@@ -53,9 +61,12 @@ def explode_rates(in_network: DataFrame, extra: list[str] | None = None, keep_em
     return unnest(in_network, "negotiated_rates", RATE_COL, keep=keep, keep_empty=keep_empty)
 
 
-def rate_references(in_network: DataFrame, extra: list[str] | None = None, keep_empty: bool = False) -> DataFrame:
-    """U1 + P2 + U2: one row per (rate element, provider reference), prices kept as an array."""
-    rates = explode_rates(in_network, extra, keep_empty)
+def rate_references(in_network: DataFrame, extra: list[str] | None = None, keep_empty: bool = False,
+                    rates: DataFrame | None = None) -> DataFrame:
+    """U1 + P2 + U2: one row per (rate element, provider reference), prices kept as an array.
+    ``rates``: the output of ``explode_rates`` when the caller already has it."""
+    if rates is None:
+        rates = explode_rates(in_network, extra, keep_empty)
     keep = [DOC_KEY, *ITEM_COLUMNS, *(extra or []),
             F.col(f"{RATE_COL}.negotiated_prices").alias(PRICES_COL), "negotiation_arrangement"]
     return unnest(rates, F.col(f"{RATE_COL}.provider_references"), REF_COL, keep=keep, keep_empty=keep_empty)
@@ -74,22 +85,33 @@ def _price_columns() -> list[Column]:
     return [F.col(f"{PRICES_COL}.{f}").alias(f) for f in PRICE_FIELDS]
 
 
-def _join_providers(pb: DataFrame, rates: DataFrame, how: str) -> DataFrame:
-    p = bounded_broadcast(pb).alias("p")
+def _join_providers(pb: DataFrame, rates: DataFrame, how: str, small: bool | None = None) -> DataFrame:
+    if small is None:
+        small = fits_broadcast(pb)
+    p = (F.broadcast(pb) if small else pb).alias("p")
     r = rates.alias("r")
     cond = (F.col(f"p.{DOC_KEY}") == F.col(f"r.{DOC_KEY}")) & (F.col("p.provider_group_id") == F.col(f"r.{REF_COL}"))
     return p.join(r, cond, how)
 
 
 def join_rates_providers(base: DataFrame, providers: DataFrame, in_network: DataFrame,
-                         keep_unmatched: bool = False) -> DataFrame:
+                         keep_unmatched: bool = False, counter=None) -> DataFrame:
     """J2a (and J3 with ``keep_unmatched``): rate references joined with providers and
     header, prices still an array. Unknown references keep NULL provider columns;
     with ``keep_unmatched`` providers that no rate uses are added with NULL rate
-    columns, and items without rates or references stay as NULL rows."""
-    pb = attach_base(providers, base, [DOC_KEY, "provider_group_id"])
-    rates = rate_references(in_network, keep_empty=keep_unmatched)
-    joined = _join_providers(pb, rates, "right").select(
+    columns, and items without rates or references stay as NULL rows.
+
+    The broadcast decision for the provider side is taken on the provider table
+    itself (the join with the header adds no rows when each document has one
+    header), before any stage is marked for the report.
+    """
+    providers = providers.select(DOC_KEY, "provider_group_id")
+    small = fits_broadcast(providers)
+    pb = attach_base(providers, base, counter=counter)
+    marked = _mark(counter, "in_network", in_network)
+    rates = _mark(counter, "rates_exploded", explode_rates(marked, keep_empty=keep_unmatched))
+    refs = _mark(counter, "references_exploded", rate_references(marked, keep_empty=keep_unmatched, rates=rates))
+    joined = _join_providers(pb, refs, "right", small).select(
         F.col(f"r.{DOC_KEY}").alias(DOC_KEY),
         *[F.col(f"p.{c}") for c in BASE_FIELDS], F.col("p.provider_group_id"),
         *[F.col(f"r.{c}") for c in ITEM_COLUMNS],
@@ -100,11 +122,11 @@ def join_rates_providers(base: DataFrame, providers: DataFrame, in_network: Data
         lonely = pb.join(used_references(in_network).withColumnRenamed(REF_COL, "provider_group_id"),
                          [DOC_KEY, "provider_group_id"], "left_anti")
         joined = joined.unionByName(lonely, allowMissingColumns=True)
-    return joined
+    return _mark(counter, "joined", joined)
 
 
 def flatten_rates(base: DataFrame, providers: DataFrame, in_network: DataFrame,
-                  keep_unmatched: bool = False, keep_source: bool = False) -> DataFrame:
+                  keep_unmatched: bool = False, keep_source: bool = False, counter=None) -> DataFrame:
     """Q2 (and Q3 with ``keep_unmatched``): 19-column rate table, one row per
     (rate element, provider reference, price).
 
@@ -112,11 +134,12 @@ def flatten_rates(base: DataFrame, providers: DataFrame, in_network: DataFrame,
     providers no rate uses; rates whose reference is unknown keep NULL provider
     and header columns. Q3 keeps every one of those rows, with NULLs.
     """
-    joined = join_rates_providers(base, providers, in_network, keep_unmatched)
+    joined = join_rates_providers(base, providers, in_network, keep_unmatched, counter)
     keep = [DOC_KEY, *BASE_FIELDS, "provider_group_id", *ITEM_COLUMNS, REF_COL, "negotiation_arrangement"]
     out = unnest(joined, PRICES_COL, PRICES_COL, keep=keep, keep_empty=keep_unmatched)
     cols = ([DOC_KEY] if keep_source else []) + RATES_COLUMNS
-    return out.select(*keep[:-2], *_price_columns(), REF_COL, "negotiation_arrangement").select(*cols)
+    out = out.select(*keep[:-2], *_price_columns(), REF_COL, "negotiation_arrangement").select(*cols)
+    return _mark(counter, "rates", out)
 
 
 def npi_providers(base: DataFrame, providers: DataFrame) -> DataFrame:
@@ -136,7 +159,7 @@ def flatten_npi_rates(base: DataFrame, providers: DataFrame, in_network: DataFra
     join is inner."""
     pn = npi_providers(base, providers)
     rates = rate_references(in_network, extra=["covered_services"])
-    joined = _join_providers(pn, rates, "inner").select(
+    joined = _join_providers(pn, rates, "inner", fits_broadcast(providers)).select(
         F.col(f"r.{DOC_KEY}"), *[F.col(f"p.{c}") for c in BASE_FIELDS],
         F.col("p.provider_group_id"), "p.npi", "p.tin_type", "p.tin",
         *[F.col(f"r.{c}") for c in ITEM_COLUMNS], "r.covered_services",

@@ -136,6 +136,29 @@ UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, billing_code, name, NULL, NULL, N
 UNION ALL SELECT {_BASE}, provider_group_id, NULL, NULL, NULL, NULL, NULL FROM lonely
 """
 
+_STAGES = """
+SELECT 'base' AS stage, CAST(5 AS BIGINT) AS columns, CAST(1 AS BIGINT) AS rows
+UNION ALL SELECT 'provider_references', 2, (SELECT count(*) FROM prov)
+UNION ALL SELECT 'providers_with_base', 6, (SELECT count(*) FROM prov)
+UNION ALL SELECT 'in_network', 10,
+  (SELECT count(*) FROM (SELECT DISTINCT l_partkey, chunk FROM li)) + (SELECT count(*) FROM unsold)
+UNION ALL SELECT 'rates_exploded', 8, (SELECT count(*) FROM el_price_stats)
+UNION ALL SELECT 'references_exploded', 9, (SELECT count(*) FROM el_refs)
+UNION ALL SELECT 'joined', 14, (SELECT count(*) FROM el_refs)
+UNION ALL SELECT 'rates', 19, (SELECT count(*) FROM rate_rows)
+"""
+
+
+def _codes_sql(column: str) -> str:
+    cond = "p_size <= 10" if column == "covered_services" else "p_size >= 45"
+    return _with(f"""
+SELECT billing_code, name, 'CPT' AS code_billing_code_type, '2024' AS code_billing_code_type_version,
+  p_brand AS code_billing_code, description AS code_description
+FROM items WHERE {cond}""")
+
+
+_LOOKUP_CODE = "'00007'"
+
 ORACLE_SQL = {
     "flatten_rates": _with(_Q2_BODY),
     "flatten_rates_keep_unmatched": _with(_Q2_BODY + _Q3_EXTRA),
@@ -147,4 +170,24 @@ UNION ALL SELECT billing_code, name, description, 'ffs', NULL, NULL, NULL, NULL
     "explode_references": _with(_REFS),
     "join_references_right": _with(_JOINED),
     "join_references_full": _with(_JOINED + _JOINED_EXTRA),
+    "stage_counts": _with(_STAGES),
+    "rates_partition_roundtrip": _with(_Q2_BODY),
+    "npi_bucket_roundtrip": _with(_Q4_BODY),
+    "code_files_roundtrip": _with(_Q2_BODY),
+    "external_table_repair": _with(f"SELECT billing_code, negotiated_rate, description FROM ({_Q2_BODY})"),
+    "batch_files_roundtrip": _with(_ELEMENTS),
+    "rates_by_code": _with(f"SELECT * FROM ({_Q2_BODY}) WHERE billing_code = {_LOOKUP_CODE}"),
+    "rates_by_npi": _with(f"SELECT * FROM ({_Q4_BODY}) WHERE npi = 1000000021"),
+    "rates_by_code_and_type": _with(
+        f"SELECT * FROM ({_Q2_BODY}) WHERE billing_code = {_LOOKUP_CODE} AND negotiated_type = 'negotiated'"),
+    "unknown_references": _with("""
+SELECT it.billing_code, 'CPT' AS billing_code_type, '2024' AS billing_code_type_version, it.description, it.name,
+  er.ref AS exploded_negotiated_rates_provider_references, ps.n_prices
+FROM el_refs er
+JOIN el_price_stats ps ON ps.l_partkey = er.l_partkey AND ps.chunk = er.chunk AND ps.l_returnflag = er.l_returnflag
+JOIN items it ON it.p_partkey = er.l_partkey
+WHERE er.ref NOT IN (SELECT provider_group_id FROM prov)"""),
+    "providers_without_rates": _with("SELECT provider_group_id, location FROM lonely"),
+    "covered_services": _codes_sql("covered_services"),
+    "bundled_codes": _codes_sql("bundled_codes"),
 }

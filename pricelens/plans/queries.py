@@ -10,10 +10,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import uuid
+
 from ..functions.text import arrays_as_text
 from ..operators import flatten as fl
-from ..schemas import BASE_FIELDS, DOC_KEY
+from ..operators.unnest import unnest
+from ..schemas import BASE_FIELDS, DOC_KEY, NPI_RATES_COLUMNS, RATES_COLUMNS
+from ..session import scratch_dir
 from ..sources.fixtures import fixture_tables
+from ..sources.tables import read_tables, write_tables
+from . import layout, lookup
+from .report import StageCounter, sample_rows
+
+# Lookup keys of L2-L4 (a billing code, an npi of supplier 2, a negotiated type).
+LOOKUP_CODE = "00007"
+LOOKUP_NPI = 1_000_000_021
+LOOKUP_TYPE = "negotiated"
 
 
 def _size(c):
@@ -92,6 +104,115 @@ def q_join_references_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _joined_summary(fl.join_rates_providers(b, p, i, keep_unmatched=True))
 
 
+def _table_name(prefix: str) -> str:
+    return f"{prefix}_{uuid.uuid4().hex[:10]}"
+
+
+def _written_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3: Q2 written partitioned by code and bucketed by type, read back from the catalog."""
+    b, p, i = _tables(spark, sf_dir)
+    name = _table_name("rates")
+    layout.write_rates(fl.flatten_rates(b, p, i), name, scratch_dir(spark, name))
+    return spark.table(name)
+
+
+def _written_npi_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b, p, i = _tables(spark, sf_dir)
+    name = _table_name("npi_rates")
+    layout.write_npi_rates(fl.flatten_npi_rates(b, p, i), name, scratch_dir(spark, name))
+    return spark.table(name)
+
+
+def _code_files(spark: SparkSession, sf_dir: str) -> str:
+    b, p, i = _tables(spark, sf_dir)
+    path = scratch_dir(spark, "code_files")
+    layout.write_partitions(fl.flatten_rates(b, p, i), path)
+    return path
+
+
+def q_rates_partition_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return arrays_as_text(_written_rates(spark, sf_dir).select(*RATES_COLUMNS))
+
+
+def q_npi_bucket_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return arrays_as_text(_written_npi_rates(spark, sf_dir).select(*NPI_RATES_COLUMNS))
+
+
+def q_code_files_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _code_files(spark, sf_dir)
+    schema = fl.flatten_rates(*_tables(spark, sf_dir)).schema
+    return arrays_as_text(spark.read.schema(schema).parquet(path).select(*RATES_COLUMNS))
+
+
+def q_external_table_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _code_files(spark, sf_dir)
+    t = layout.register_rates(spark, _table_name("processed_data"), path)
+    return t.select("billing_code", "negotiated_rate", "description")
+
+
+def q_batch_files_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b, p, i = _tables(spark, sf_dir)
+    root = scratch_dir(spark, "tables")
+    write_tables(b, p, i, root, max_records_per_file=1000)
+    _, _, i2 = read_tables(spark, root)
+    r = fl.explode_rates(i2)
+    return r.select("billing_code", "name", "description", "negotiation_arrangement", *_rate_summary(fl.RATE_COL))
+
+
+def q_rates_by_code(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return arrays_as_text(lookup.rates_by_code(_written_rates(spark, sf_dir), LOOKUP_CODE).select(*RATES_COLUMNS))
+
+
+def q_rates_by_npi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return arrays_as_text(lookup.rates_by_npi(_written_npi_rates(spark, sf_dir), LOOKUP_NPI).select(*NPI_RATES_COLUMNS))
+
+
+def q_rates_by_code_and_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _written_rates(spark, sf_dir)
+    return arrays_as_text(lookup.rates_by_code_and_type(t, LOOKUP_CODE, LOOKUP_TYPE).select(*RATES_COLUMNS))
+
+
+def q_unknown_references(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, p, i = _tables(spark, sf_dir)
+    out = lookup.unknown_references(p, i)
+    return out.select(*[c for c in out.columns if c != DOC_KEY]).withColumn("n_prices", F.col("n_prices").cast("long"))
+
+
+def q_providers_without_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, p, i = _tables(spark, sf_dir)
+    return lookup.providers_without_rates(p, i).select("provider_group_id", "location")
+
+
+def _codes(spark: SparkSession, sf_dir: str, column: str) -> DataFrame:
+    _, _, i = _tables(spark, sf_dir)
+    c = unnest(i, column, "c", keep=["billing_code", "name"])
+    return c.select("billing_code", "name", *[F.col(f"c.{f}").alias(f"code_{f}") for f in
+                                               ["billing_code_type", "billing_code_type_version", "billing_code",
+                                                "description"]])
+
+
+def q_covered_services(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _codes(spark, sf_dir, "covered_services")
+
+
+def q_bundled_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _codes(spark, sf_dir, "bundled_codes")
+
+
+def q_stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1 + I1: rows and columns after each stage of Q2, all counted by the one job
+    that runs Q2 (here into the no-op sink)."""
+    b, p, i = _tables(spark, sf_dir)
+    counter = StageCounter()
+    fl.flatten_rates(b, p, i, counter=counter).write.format("noop").mode("overwrite").save()
+    return counter.report(spark)
+
+
+def q_sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1: five rate rows, any five (rows-only check)."""
+    return sample_rows(q_flatten_rates(spark, sf_dir), 5)
+
+
 SPARK_QUERIES = {
     "flatten_rates": q_flatten_rates,
     "flatten_rates_keep_unmatched": q_flatten_rates_keep_unmatched,
@@ -102,4 +223,18 @@ SPARK_QUERIES = {
     "explode_references": q_explode_references,
     "join_references_right": q_join_references_right,
     "join_references_full": q_join_references_full,
+    "stage_counts": q_stage_counts,
+    "rates_partition_roundtrip": q_rates_partition_roundtrip,
+    "npi_bucket_roundtrip": q_npi_bucket_roundtrip,
+    "code_files_roundtrip": q_code_files_roundtrip,
+    "external_table_repair": q_external_table_repair,
+    "batch_files_roundtrip": q_batch_files_roundtrip,
+    "rates_by_code": q_rates_by_code,
+    "rates_by_npi": q_rates_by_npi,
+    "rates_by_code_and_type": q_rates_by_code_and_type,
+    "unknown_references": q_unknown_references,
+    "providers_without_rates": q_providers_without_rates,
+    "covered_services": q_covered_services,
+    "bundled_codes": q_bundled_codes,
+    "sample_rows": q_sample_rows,
 }
