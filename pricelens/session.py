@@ -26,6 +26,7 @@ DEFAULT_CONF = {
     # Bucket filters on npi / negotiated_type prune files (SelectedBucketsCount).
     "spark.sql.sources.bucketing.autoBucketedScan.enabled": "false",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
