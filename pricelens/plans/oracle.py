@@ -57,6 +57,14 @@ npis AS (
          CASE WHEN suppkey % 2 = 0 THEN 'ein' ELSE 'npi' END AS tin_type,
          CAST(suppkey AS VARCHAR) AS tin
   FROM (SELECT *, unnest(range(suppkey % 3)) AS i FROM prov WHERE s_acctbal >= 1000)),
+doc_items AS (
+  SELECT p_partkey, chunk,
+    CASE WHEN chunk = -1 THEN 'doc-' || CAST(p_partkey // 500 AS VARCHAR)
+         ELSE 'doc-' || CAST(p_partkey AS VARCHAR) || '-' || CAST(chunk AS VARCHAR) END AS doc
+  FROM (SELECT DISTINCT l_partkey AS p_partkey, chunk FROM li UNION ALL SELECT p_partkey, -1 FROM unsold)),
+doc_refs AS (
+  SELECT DISTINCT d.doc, er.ref FROM el_refs er
+  JOIN doc_items d ON d.p_partkey = er.l_partkey AND d.chunk = er.chunk),
 rate_rows AS (
   SELECT er.l_partkey, er.chunk, er.l_returnflag, er.ref, ep.billing_class, ep.expiration_date,
          ep.negotiated_rate, ep.negotiated_type, ep.service_code
@@ -159,6 +167,29 @@ FROM items WHERE {cond}""")
 
 _LOOKUP_CODE = "'00007'"
 
+_EXTRACT_BASE = f"""
+SELECT {_base_cols('TRUE')}, CAST(NULL AS VARCHAR) AS plan_name, CAST(NULL AS VARCHAR) AS plan_id_type,
+  CAST(NULL AS VARCHAR) AS plan_id, CAST(NULL AS VARCHAR) AS plan_market_type
+FROM (SELECT DISTINCT doc FROM doc_items)"""
+
+_EXTRACT_PROVIDERS = """
+SELECT pr.provider_group_id, pr.location,
+  CASE WHEN pr.s_acctbal >= 1000 THEN
+    array_to_string(list_transform(range(pr.suppkey % 3), lambda i: 1000000000 + pr.suppkey * 10 + i), ',') END AS npis,
+  CASE WHEN pr.s_acctbal >= 1000 THEN
+    (CASE WHEN pr.suppkey % 2 = 0 THEN 'ein' ELSE 'npi' END) || ':' || CAST(pr.suppkey AS VARCHAR) END AS tins
+FROM doc_refs dr JOIN prov pr ON pr.provider_group_id = dr.ref"""
+
+_EXTRACT_ITEMS = """
+SELECT it.billing_code, it.name, it.description, s.n_rates, r.n_refs, s.n_prices, it.covered_services
+FROM (SELECT l_partkey, chunk, count(*) AS n_rates, sum(n_prices) AS n_prices
+      FROM el_price_stats GROUP BY l_partkey, chunk) s
+JOIN (SELECT l_partkey, chunk, count(*) AS n_refs FROM el_refs GROUP BY l_partkey, chunk) r
+  ON r.l_partkey = s.l_partkey AND r.chunk = s.chunk
+JOIN items it ON it.p_partkey = s.l_partkey
+UNION ALL
+SELECT billing_code, name, description, NULL, NULL, NULL, covered_services FROM unsold"""
+
 ORACLE_SQL = {
     "flatten_rates": _with(_Q2_BODY),
     "flatten_rates_keep_unmatched": _with(_Q2_BODY + _Q3_EXTRA),
@@ -189,5 +220,12 @@ JOIN items it ON it.p_partkey = er.l_partkey
 WHERE er.ref NOT IN (SELECT provider_group_id FROM prov)"""),
     "providers_without_rates": _with("SELECT provider_group_id, location FROM lonely"),
     "covered_services": _codes_sql("covered_services"),
+    "extract_base": _with(_EXTRACT_BASE),
+    "extract_providers": _with(_EXTRACT_PROVIDERS),
+    "extract_in_network": _with(_EXTRACT_ITEMS),
+    "extract_base_stream": _with(_EXTRACT_BASE),
+    "extract_providers_stream": _with(_EXTRACT_PROVIDERS),
+    "extract_in_network_stream": _with(_EXTRACT_ITEMS),
+    "extracted_flatten_rates": _with(_Q2_BODY),
     "bundled_codes": _codes_sql("bundled_codes"),
 }

@@ -12,12 +12,13 @@ from pyspark.sql import functions as F
 
 import uuid
 
-from ..functions.text import arrays_as_text
+from ..functions.text import arrays_as_text, code_list_text
 from ..operators import flatten as fl
 from ..operators.unnest import unnest
 from ..schemas import BASE_FIELDS, DOC_KEY, NPI_RATES_COLUMNS, RATES_COLUMNS
 from ..session import scratch_dir
-from ..sources.fixtures import fixture_tables
+from ..sources.fixtures import fixture_tables, write_fixture_documents
+from ..sources.raw_json import extract
 from ..sources.tables import read_tables, write_tables
 from . import layout, lookup
 from .report import StageCounter, sample_rows
@@ -213,6 +214,66 @@ def q_sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sample_rows(q_flatten_rates(spark, sf_dir), 5)
 
 
+def _extracted(spark: SparkSession, sf_dir: str, method: str):
+    """Q1: the fixture written as gzip JSON documents, then extracted again."""
+    path = write_fixture_documents(spark, sf_dir, scratch_dir(spark, "documents"))
+    return extract(spark, path, method)
+
+
+def _base_out(b: DataFrame) -> DataFrame:
+    return b.drop(DOC_KEY)
+
+
+def _providers_out(p: DataFrame) -> DataFrame:
+    groups = F.col("provider_groups")
+    return p.select("provider_group_id", "location",
+                    F.array_join(F.flatten(F.transform(groups, lambda g: g["npi"])), ",").alias("npis"),
+                    F.array_join(F.transform(groups, lambda g: F.concat_ws(":", g["tin"]["type"], g["tin"]["value"])),
+                                 ",").alias("tins"))
+
+
+def _items_out(i: DataFrame) -> DataFrame:
+    rates = F.col("negotiated_rates")
+
+    def total(field):
+        return F.aggregate(F.transform(rates, lambda r: F.size(r[field]).cast("long")), F.lit(0).cast("long"),
+                           lambda a, b: a + b)
+
+    return i.select("billing_code", "name", "description", _size(rates).alias("n_rates"),
+                    total("provider_references").alias("n_refs"), total("negotiated_prices").alias("n_prices"),
+                    code_list_text(F.col("covered_services")).alias("covered_services"))
+
+
+def q_extract_base(spark, sf_dir):
+    return _base_out(_extracted(spark, sf_dir, "multiline")[0])
+
+
+def q_extract_providers(spark, sf_dir):
+    return _providers_out(_extracted(spark, sf_dir, "multiline")[1])
+
+
+def q_extract_in_network(spark, sf_dir):
+    return _items_out(_extracted(spark, sf_dir, "multiline")[2])
+
+
+def q_extract_base_stream(spark, sf_dir):
+    return _base_out(_extracted(spark, sf_dir, "stream")[0])
+
+
+def q_extract_providers_stream(spark, sf_dir):
+    return _providers_out(_extracted(spark, sf_dir, "stream")[1])
+
+
+def q_extract_in_network_stream(spark, sf_dir):
+    return _items_out(_extracted(spark, sf_dir, "stream")[2])
+
+
+def q_extracted_flatten_rates(spark, sf_dir):
+    """Q1 then Q2: rates flattened from the raw documents (stream reader). Each
+    document joins its own provider list."""
+    return arrays_as_text(fl.flatten_rates(*_extracted(spark, sf_dir, "stream")))
+
+
 SPARK_QUERIES = {
     "flatten_rates": q_flatten_rates,
     "flatten_rates_keep_unmatched": q_flatten_rates_keep_unmatched,
@@ -237,4 +298,11 @@ SPARK_QUERIES = {
     "covered_services": q_covered_services,
     "bundled_codes": q_bundled_codes,
     "sample_rows": q_sample_rows,
+    "extract_base": q_extract_base,
+    "extract_providers": q_extract_providers,
+    "extract_in_network": q_extract_in_network,
+    "extract_base_stream": q_extract_base_stream,
+    "extract_providers_stream": q_extract_providers_stream,
+    "extract_in_network_stream": q_extract_in_network_stream,
+    "extracted_flatten_rates": q_extracted_flatten_rates,
 }

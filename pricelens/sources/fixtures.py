@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.joins import bounded_broadcast
-from ..schemas import BASE_TABLE, DOC_KEY, IN_NETWORK_TABLE, PROVIDERS_TABLE
+from ..schemas import BASE_FIELDS, BASE_TABLE, DOC_KEY, IN_NETWORK_TABLE, PLAN_FIELDS, PROVIDERS_TABLE
 
 # Fixed values of the fixture (not derived from data).
 FIXTURE_DOC = "fixture"
@@ -35,6 +35,7 @@ FACILITY_OFFSET = 1 << 40          # provider_group_id of a supplier's facility
 NPI_BASE = 1_000_000_000           # npi = NPI_BASE + suppkey * 10 + i
 HOT_PART_ROWS = 4096
 HOT_PART_ORDER_SPAN = 1024
+PARTS_PER_DOCUMENT = 500
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -116,14 +117,15 @@ def billing_code(partkey: Column) -> Column:
     return F.lpad(F.pmod(partkey, F.lit(50)).cast("string"), 5, "0")
 
 
-def fixture_in_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fixture_in_network(spark: SparkSession, sf_dir: str, keep_keys: bool = False) -> DataFrame:
+    """``keep_keys`` also returns ``p_partkey`` and ``chunk`` (NULL for an unsold part)."""
     el = fixture_rate_elements(spark, sf_dir)
     rate = F.struct("negotiated_prices", "provider_references",
                     F.lit(None).cast(IN_NETWORK_TABLE["negotiated_rates"].dataType.elementType["provider_groups"].dataType)
                     .alias("provider_groups"))
     items = el.groupBy("l_partkey", "chunk").agg(
         F.sort_array(F.collect_list(F.struct("l_returnflag", rate.alias("rate")))).alias("rates"))
-    items = items.select("l_partkey", F.transform("rates", lambda x: x["rate"]).alias("negotiated_rates"))
+    items = items.select("l_partkey", "chunk", F.transform("rates", lambda x: x["rate"]).alias("negotiated_rates"))
     part = read_table(spark, sf_dir, "part")
     joined = part.join(items, part.p_partkey == items.l_partkey, "left")
     return joined.select(
@@ -137,9 +139,45 @@ def fixture_in_network(spark: SparkSession, sf_dir: str) -> DataFrame:
         "negotiated_rates",
         _code_list(F.col("p_size") <= 10).alias("covered_services"),
         _code_list(F.col("p_size") >= 45).alias("bundled_codes"),
-    ).select(*[F.col(f.name).cast(f.dataType) for f in IN_NETWORK_TABLE.fields])
+        "p_partkey", "chunk",
+    ).select(*[F.col(f.name).cast(f.dataType) for f in IN_NETWORK_TABLE.fields],
+             *([F.col("p_partkey"), F.col("chunk")] if keep_keys else []))
 
 
 def fixture_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(base, provider_references, in_network) for the test data set at ``sf_dir``."""
     return fixture_base(spark, sf_dir), fixture_providers(spark, sf_dir), fixture_in_network(spark, sf_dir)
+
+
+def document_key(partkey: Column, chunk: Column) -> Column:
+    """Raw documents hold the items of ``PARTS_PER_DOCUMENT`` consecutive parts;
+    each chunk of a hot part is a document of its own, so documents stay bounded."""
+    block = F.expr(f"p_partkey div {PARTS_PER_DOCUMENT}").cast("string")
+    return (F.when(chunk.isNull() | (chunk == -1), F.concat(F.lit("doc-"), block))
+            .otherwise(F.concat(F.lit("doc-"), partkey.cast("string"), F.lit("-"), chunk.cast("string"))))
+
+
+def write_fixture_documents(spark: SparkSession, sf_dir: str, path: str) -> str:
+    """The fixture as raw rate documents: gzip JSON files ``path/doc=<key>/*.txt.gz``,
+    one JSON object per file with the header, the provider groups its rates refer
+    to, and its items. Each document is assembled from its own rows only."""
+    base = fixture_base(spark, sf_dir)
+    providers = fixture_providers(spark, sf_dir)
+    items = fixture_in_network(spark, sf_dir, keep_keys=True)
+    items = items.withColumn("doc", document_key(F.col("p_partkey"), F.col("chunk")))
+    item_fields = [f.name for f in IN_NETWORK_TABLE.fields if f.name != DOC_KEY]
+    item_text = items.groupBy("doc", DOC_KEY).agg(
+        F.array_join(F.sort_array(F.collect_list(F.to_json(F.struct(*item_fields)))), ",").alias("items"))
+    refs = items.select("doc", DOC_KEY, F.explode(F.flatten("negotiated_rates.provider_references")).alias("ref"))
+    refs = refs.distinct()
+    prov = refs.join(providers, [refs[DOC_KEY] == providers[DOC_KEY], refs.ref == providers.provider_group_id])
+    prov_text = prov.groupBy("doc").agg(F.array_join(F.sort_array(F.collect_list(
+        F.to_json(F.struct("provider_group_id", "location", "provider_groups")))), ",").alias("providers"))
+    header = base.select(DOC_KEY, F.regexp_replace(F.to_json(F.struct(*BASE_FIELDS, *PLAN_FIELDS)),
+                                                   r"^\{|\}$", "").alias("header"))
+    docs = item_text.join(bounded_broadcast(header), DOC_KEY).join(prov_text, "doc", "left")
+    text = F.concat(F.lit("{"), F.col("header"), F.lit(',"provider_references":['),
+                    F.coalesce(F.col("providers"), F.lit("")), F.lit('],"in_network":['), F.col("items"), F.lit("]}"))
+    (docs.select("doc", text.alias("value")).write.mode("overwrite").partitionBy("doc")
+     .option("compression", "gzip").text(path))
+    return path
