@@ -45,11 +45,11 @@ items AS (
 unsold AS (SELECT * FROM items WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem)),
 prov AS (
   SELECT s_suppkey AS provider_group_id, s_suppkey AS suppkey, s_acctbal,
-         'https://providers.example.org/' || CAST(s_suppkey AS VARCHAR) AS location
+         'https://providers.example.org/' || CAST(s_suppkey AS VARCHAR) AS location, s_nationkey
   FROM supplier WHERE s_acctbal >= 0
   UNION ALL
   SELECT s_suppkey + {_FACILITY_OFFSET}, s_suppkey, s_acctbal,
-         'https://providers.example.org/facility/' || CAST(s_suppkey AS VARCHAR)
+         'https://providers.example.org/facility/' || CAST(s_suppkey AS VARCHAR), s_nationkey
   FROM supplier WHERE s_acctbal >= 9000),
 lonely AS (SELECT * FROM prov WHERE provider_group_id NOT IN (SELECT ref FROM el_refs)),
 npis AS (
@@ -190,6 +190,63 @@ JOIN items it ON it.p_partkey = s.l_partkey
 UNION ALL
 SELECT billing_code, name, description, NULL, NULL, NULL, covered_services FROM unsold"""
 
+# Contract violations planted by sources.fixtures.dirty_tables.
+_ITEM_ROWS = """
+item_rows AS (
+  SELECT it.billing_code, it.p_size, d.chunk, it.p_partkey,
+         d.p_partkey IN (SELECT p_partkey FROM unsold) AS unsold
+  FROM doc_items d JOIN items it ON it.p_partkey = d.p_partkey),
+dirty_prices AS (
+  SELECT it.billing_code, it.p_size, ep.expiration_date
+  FROM el_prices ep JOIN items it ON it.p_partkey = ep.l_partkey WHERE it.p_size BETWEEN 5 AND 9),
+violations AS (
+  SELECT 'C2.negotiation_arrangement' AS rule, 'in_network' AS "table", billing_code AS key, 'fee' AS value
+  FROM item_rows WHERE p_size = 1
+  UNION ALL SELECT 'C3.billing_code_type', 'in_network', billing_code, 'CPT4' FROM item_rows WHERE p_size = 2
+  UNION ALL SELECT 'C1.description', 'in_network', billing_code, NULL FROM item_rows WHERE p_size = 3
+  UNION ALL SELECT 'C1.negotiated_rates', 'in_network', billing_code, NULL FROM item_rows WHERE unsold
+  UNION ALL SELECT 'C7.references_or_groups', 'negotiated_rates', it.billing_code, NULL
+    FROM el_price_stats ps JOIN items it ON it.p_partkey = ps.l_partkey WHERE it.p_size = 4
+  UNION ALL SELECT 'C10.price_branch', 'negotiated_prices', billing_code, 'both' FROM dirty_prices WHERE p_size = 5
+  UNION ALL SELECT 'C4.negotiated_type', 'negotiated_prices', billing_code, 'flat' FROM dirty_prices WHERE p_size = 6
+  UNION ALL SELECT 'C5.service_code', 'negotiated_prices', billing_code, '00' FROM dirty_prices WHERE p_size = 7
+  UNION ALL SELECT 'C12.expiration_date', 'negotiated_prices', billing_code, replace(expiration_date, '-', '/')
+    FROM dirty_prices WHERE p_size = 8
+  UNION ALL SELECT 'C6.billing_code_modifier', 'negotiated_prices', billing_code, '25,25' FROM dirty_prices WHERE p_size = 9
+  UNION ALL SELECT 'C9.location', 'provider_references', CAST(provider_group_id AS VARCHAR),
+    replace(location, 'https://', 'http://') FROM prov WHERE s_nationkey = 0
+  UNION ALL SELECT 'C8.location_or_groups', 'provider_references', CAST(provider_group_id AS VARCHAR), NULL
+    FROM prov WHERE s_nationkey = 1 AND s_acctbal < 1000
+  UNION ALL SELECT 'C6.npi', 'provider_references', CAST(provider_group_id AS VARCHAR),
+    array_to_string(list_concat(n, n), ',')
+    FROM (SELECT provider_group_id, list_transform(range(suppkey % 3), lambda i: 1000000000 + suppkey * 10 + i) AS n
+          FROM prov WHERE s_nationkey = 3 AND s_acctbal >= 1000 AND suppkey % 3 > 0)
+  UNION ALL SELECT 'C11.plan_members', 'base', 'fixture', '2'
+  UNION ALL SELECT 'C4.plan_market_type', 'base', 'fixture', 'small')
+"""
+
+
+def _contract(families: list[str]) -> str:
+    cond = " OR ".join(f"split_part(rule, '.', 1) = '{f}'" for f in families)
+    return f"WITH {CTES},{_ITEM_ROWS}SELECT rule, \"table\", key, value FROM violations WHERE {cond}"
+
+
+CONTRACT_FAMILIES = {
+    "contract_required": ["C1"],
+    "contract_enums": ["C2", "C3", "C4"],
+    "contract_unique": ["C6"],
+    "contract_choice": ["C7", "C8", "C10"],
+    "contract_patterns": ["C5", "C9"],
+    "contract_plan_members": ["C11"],
+    "contract_dates": ["C12"],
+}
+
+_NUMBERS = """
+SELECT 'C13.provider_group_id' AS rule, 'provider_references' AS "table",
+  CAST(CAST(pr.provider_group_id + 0.5 AS DECIMAL(38, 10)) AS VARCHAR) AS key,
+  CAST(CAST(pr.provider_group_id + 0.5 AS DECIMAL(38, 10)) AS VARCHAR) AS value
+FROM doc_refs dr JOIN prov pr ON pr.provider_group_id = dr.ref WHERE pr.s_nationkey = 2"""
+
 ORACLE_SQL = {
     "flatten_rates": _with(_Q2_BODY),
     "flatten_rates_keep_unmatched": _with(_Q2_BODY + _Q3_EXTRA),
@@ -227,5 +284,14 @@ WHERE er.ref NOT IN (SELECT provider_group_id FROM prov)"""),
     "extract_providers_stream": _with(_EXTRACT_PROVIDERS),
     "extract_in_network_stream": _with(_EXTRACT_ITEMS),
     "extracted_flatten_rates": _with(_Q2_BODY),
+    **{name: _contract(fams) for name, fams in CONTRACT_FAMILIES.items()},
+    "contract_numbers": _with(_NUMBERS),
+    "default_arrays": _with("""
+SELECT it.billing_code, it.name, coalesce(s.n_rates, 0) AS n_rates,
+  CAST(CASE WHEN it.p_size <= 10 THEN 1 ELSE 0 END AS BIGINT) AS n_covered,
+  CAST(CASE WHEN it.p_size >= 45 THEN 1 ELSE 0 END AS BIGINT) AS n_bundled
+FROM doc_items d JOIN items it ON it.p_partkey = d.p_partkey
+LEFT JOIN (SELECT l_partkey, chunk, count(*) AS n_rates FROM el_price_stats GROUP BY l_partkey, chunk) s
+  ON s.l_partkey = d.p_partkey AND s.chunk = d.chunk"""),
     "bundled_codes": _codes_sql("bundled_codes"),
 }

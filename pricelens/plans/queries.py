@@ -17,7 +17,10 @@ from ..operators import flatten as fl
 from ..operators.unnest import unnest
 from ..schemas import BASE_FIELDS, DOC_KEY, NPI_RATES_COLUMNS, RATES_COLUMNS
 from ..session import scratch_dir
-from ..sources.fixtures import fixture_tables, write_fixture_documents
+from ..operators import contract
+from ..schemas import RAW_DOCUMENT_DECIMAL_IDS
+from ..sources.fixtures import dirty_tables, fixture_tables, write_fixture_documents
+from ..sources.raw_json import read_documents
 from ..sources.raw_json import extract
 from ..sources.tables import read_tables, write_tables
 from . import layout, lookup
@@ -274,6 +277,39 @@ def q_extracted_flatten_rates(spark, sf_dir):
     return arrays_as_text(fl.flatten_rates(*_extracted(spark, sf_dir, "stream")))
 
 
+def _contract_query(families: list[str]):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        v = contract.violations(*dirty_tables(spark, sf_dir))
+        return v.where(F.split(F.col("rule"), r"\.").getItem(0).isin(*families))
+    return run
+
+
+CONTRACT_FAMILIES = {
+    "contract_required": ["C1"],
+    "contract_enums": ["C2", "C3", "C4"],
+    "contract_unique": ["C6"],
+    "contract_choice": ["C7", "C8", "C10"],
+    "contract_patterns": ["C5", "C9"],
+    "contract_plan_members": ["C11"],
+    "contract_dates": ["C12"],
+}
+
+
+def q_contract_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C13 on raw documents whose nation-2 provider ids end in .5."""
+    path = write_fixture_documents(spark, sf_dir, scratch_dir(spark, "documents"), fractional_ids=True)
+    return contract.number_violations(read_documents(spark, path, RAW_DOCUMENT_DECIMAL_IDS))
+
+
+def q_default_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C14: absent arrays read as []: unsold parts keep one row with zero rates."""
+    _, _, i = _tables(spark, sf_dir)
+    d = contract.with_default_arrays(i)
+    return d.select("billing_code", "name", F.size("negotiated_rates").cast("long").alias("n_rates"),
+                    F.size("covered_services").cast("long").alias("n_covered"),
+                    F.size("bundled_codes").cast("long").alias("n_bundled"))
+
+
 SPARK_QUERIES = {
     "flatten_rates": q_flatten_rates,
     "flatten_rates_keep_unmatched": q_flatten_rates_keep_unmatched,
@@ -305,4 +341,7 @@ SPARK_QUERIES = {
     "extract_providers_stream": q_extract_providers_stream,
     "extract_in_network_stream": q_extract_in_network_stream,
     "extracted_flatten_rates": q_extracted_flatten_rates,
+    **{name: _contract_query(fams) for name, fams in CONTRACT_FAMILIES.items()},
+    "contract_numbers": q_contract_numbers,
+    "default_arrays": q_default_arrays,
 }

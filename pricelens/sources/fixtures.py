@@ -59,11 +59,11 @@ def _supplier_groups(key: Column, bal: Column) -> Column:
     return F.when(bal < 1000, F.lit(None)).otherwise(F.array(F.struct(npis.alias("npi"), tin.alias("tin"))))
 
 
-def fixture_providers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fixture_providers(spark: SparkSession, sf_dir: str, keep_nation: bool = False) -> DataFrame:
     s = read_table(spark, sf_dir, "supplier").where(F.col("s_acctbal") >= 0)
     key, bal = F.col("s_suppkey"), F.col("s_acctbal")
     kinds = F.when(bal >= 9000, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    s = s.select(key, bal, F.explode(kinds).alias("kind"))
+    s = s.select(key, bal, "s_nationkey", F.explode(kinds).alias("kind"))
     facility = F.col("kind") == 1
     return s.select(
         F.lit(FIXTURE_DOC).alias(DOC_KEY),
@@ -71,7 +71,9 @@ def fixture_providers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit(LOCATION_PREFIX), F.when(facility, F.lit("facility/")).otherwise(F.lit("")),
                  key.cast("string")).alias("location"),
         _supplier_groups(key, bal).alias("provider_groups"),
-    ).select(*[F.col(f.name).cast(f.dataType) for f in PROVIDERS_TABLE.fields])
+        "s_nationkey",
+    ).select(*[F.col(f.name).cast(f.dataType) for f in PROVIDERS_TABLE.fields],
+             *(["s_nationkey"] if keep_nation else []))
 
 
 def price_struct() -> Column:
@@ -118,7 +120,7 @@ def billing_code(partkey: Column) -> Column:
 
 
 def fixture_in_network(spark: SparkSession, sf_dir: str, keep_keys: bool = False) -> DataFrame:
-    """``keep_keys`` also returns ``p_partkey`` and ``chunk`` (NULL for an unsold part)."""
+    """``keep_keys`` also returns ``p_partkey``, ``chunk`` (NULL for an unsold part) and ``p_size``."""
     el = fixture_rate_elements(spark, sf_dir)
     rate = F.struct("negotiated_prices", "provider_references",
                     F.lit(None).cast(IN_NETWORK_TABLE["negotiated_rates"].dataType.elementType["provider_groups"].dataType)
@@ -139,9 +141,9 @@ def fixture_in_network(spark: SparkSession, sf_dir: str, keep_keys: bool = False
         "negotiated_rates",
         _code_list(F.col("p_size") <= 10).alias("covered_services"),
         _code_list(F.col("p_size") >= 45).alias("bundled_codes"),
-        "p_partkey", "chunk",
+        "p_partkey", "chunk", "p_size",
     ).select(*[F.col(f.name).cast(f.dataType) for f in IN_NETWORK_TABLE.fields],
-             *([F.col("p_partkey"), F.col("chunk")] if keep_keys else []))
+             *([F.col("p_partkey"), F.col("chunk"), F.col("p_size")] if keep_keys else []))
 
 
 def fixture_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -157,12 +159,15 @@ def document_key(partkey: Column, chunk: Column) -> Column:
             .otherwise(F.concat(F.lit("doc-"), partkey.cast("string"), F.lit("-"), chunk.cast("string"))))
 
 
-def write_fixture_documents(spark: SparkSession, sf_dir: str, path: str) -> str:
+def write_fixture_documents(spark: SparkSession, sf_dir: str, path: str, fractional_ids: bool = False) -> str:
     """The fixture as raw rate documents: gzip JSON files ``path/doc=<key>/*.txt.gz``,
     one JSON object per file with the header, the provider groups its rates refer
-    to, and its items. Each document is assembled from its own rows only."""
+    to, and its items. Each document is assembled from its own rows only.
+
+    ``fractional_ids``: groups of suppliers in nation 2 get a provider_group_id
+    ending in ``.5``, a contract violation (C13) only raw JSON can carry."""
     base = fixture_base(spark, sf_dir)
-    providers = fixture_providers(spark, sf_dir)
+    providers = fixture_providers(spark, sf_dir, keep_nation=True)
     items = fixture_in_network(spark, sf_dir, keep_keys=True)
     items = items.withColumn("doc", document_key(F.col("p_partkey"), F.col("chunk")))
     item_fields = [f.name for f in IN_NETWORK_TABLE.fields if f.name != DOC_KEY]
@@ -171,8 +176,11 @@ def write_fixture_documents(spark: SparkSession, sf_dir: str, path: str) -> str:
     refs = items.select("doc", DOC_KEY, F.explode(F.flatten("negotiated_rates.provider_references")).alias("ref"))
     refs = refs.distinct()
     prov = refs.join(providers, [refs[DOC_KEY] == providers[DOC_KEY], refs.ref == providers.provider_group_id])
-    prov_text = prov.groupBy("doc").agg(F.array_join(F.sort_array(F.collect_list(
-        F.to_json(F.struct("provider_group_id", "location", "provider_groups")))), ",").alias("providers"))
+    prov_json = F.to_json(F.struct("provider_group_id", "location", "provider_groups"))
+    if fractional_ids:
+        prov_json = F.when(F.col("s_nationkey") == 2, F.regexp_replace(
+            prov_json, r'^\{"provider_group_id":([0-9]+)', '{"provider_group_id":$1.5')).otherwise(prov_json)
+    prov_text = prov.groupBy("doc").agg(F.array_join(F.sort_array(F.collect_list(prov_json)), ",").alias("providers"))
     header = base.select(DOC_KEY, F.regexp_replace(F.to_json(F.struct(*BASE_FIELDS, *PLAN_FIELDS)),
                                                    r"^\{|\}$", "").alias("header"))
     docs = item_text.join(bounded_broadcast(header), DOC_KEY).join(prov_text, "doc", "left")
@@ -181,3 +189,50 @@ def write_fixture_documents(spark: SparkSession, sf_dir: str, path: str) -> str:
     (docs.select("doc", text.alias("value")).write.mode("overwrite").partitionBy("doc")
      .option("compression", "gzip").text(path))
     return path
+
+
+def dirty_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The fixture with contract violations planted by data attributes:
+
+    items by part size: 1 arrangement ``fee`` (C2), 2 code type ``CPT4`` (C3),
+    3 no description (C1), 4 rates with both references and groups (C7),
+    5 prices billed ``both`` (C10), 6 type ``flat`` (C4), 7 service code ``00``
+    (C5), 8 dates with ``/`` (C12), 9 modifier ``25`` twice (C6);
+    providers by supplier nation: 0 ``http://`` location (C9), 1 no location
+    (C8 where no groups), 3 every npi twice (C6); the header has 2 of the 4
+    plan members (C11) and market type ``small`` (C4).
+    """
+    size = F.col("p_size")
+    i = fixture_in_network(spark, sf_dir, keep_keys=True)
+    groups_t = IN_NETWORK_TABLE["negotiated_rates"].dataType.elementType["provider_groups"].dataType
+
+    def prices_with(field, value):
+        return F.transform("negotiated_rates", lambda r: r.withField(
+            "negotiated_prices", F.transform(r["negotiated_prices"], lambda p: p.withField(field, value(p)))))
+
+    rates = (F.when(size == 4, F.transform("negotiated_rates",
+                                            lambda r: r.withField("provider_groups", F.array().cast(groups_t))))
+             .when(size == 5, prices_with("billing_class", lambda p: F.lit("both")))
+             .when(size == 6, prices_with("negotiated_type", lambda p: F.lit("flat")))
+             .when(size == 7, prices_with("service_code", lambda p: F.array(F.lit("00"))))
+             .when(size == 8, prices_with("expiration_date", lambda p: F.regexp_replace(p["expiration_date"], "-", "/")))
+             .when(size == 9, prices_with("billing_code_modifier", lambda p: F.array(F.lit("25"), F.lit("25"))))
+             .otherwise(F.col("negotiated_rates")))
+    i = i.withColumns({
+        "negotiation_arrangement": F.when(size == 1, F.lit("fee")).otherwise(F.col("negotiation_arrangement")),
+        "billing_code_type": F.when(size == 2, F.lit("CPT4")).otherwise(F.col("billing_code_type")),
+        "description": F.when(size == 3, F.lit(None)).otherwise(F.col("description")),
+        "negotiated_rates": rates,
+    }).select(*[f.name for f in IN_NETWORK_TABLE.fields])
+
+    nation = F.col("s_nationkey")
+    p = fixture_providers(spark, sf_dir, keep_nation=True)
+    p = p.withColumns({
+        "location": F.when(nation == 0, F.regexp_replace("location", "^https://", "http://"))
+                     .when(nation == 1, F.lit(None)).otherwise(F.col("location")),
+        "provider_groups": F.when(nation == 3, F.transform(
+            "provider_groups", lambda g: g.withField("npi", F.concat(g["npi"], g["npi"])))).otherwise(F.col("provider_groups")),
+    }).select(*[f.name for f in PROVIDERS_TABLE.fields])
+
+    b = fixture_base(spark, sf_dir).withColumns({"plan_name": F.lit("P"), "plan_market_type": F.lit("small")})
+    return b, p, i
