@@ -152,8 +152,25 @@ def npi_providers(base: DataFrame, providers: DataFrame) -> DataFrame:
     return attach_base(n, base)
 
 
+def inline_npi_rates(base: DataFrame, in_network: DataFrame) -> DataFrame:
+    """E1: rate elements that list their provider groups inline (instead of
+    references), one row per (element, price, group, npi); provider_group_id is
+    NULL, the header comes from the item's own document."""
+    rates = explode_rates(in_network, extra=["covered_services"])
+    g = unnest(rates, F.col(f"{RATE_COL}.provider_groups"), "g",
+               keep=[DOC_KEY, *ITEM_COLUMNS, "covered_services",
+                     F.col(f"{RATE_COL}.negotiated_prices").alias(PRICES_COL), "negotiation_arrangement"])
+    n = g.select(*[c for c in g.columns if c != "g"], F.explode("g.npi").alias("npi"),
+                 F.col("g.tin.type").alias("tin_type"), F.col("g.tin.value").alias("tin"))
+    b = base.select(DOC_KEY, *BASE_FIELDS)
+    n = n.join(F.broadcast(b) if fits_broadcast(b) else b, DOC_KEY, "inner")
+    keep = [c for c in n.columns if c != PRICES_COL]
+    out = unnest(n, PRICES_COL, PRICES_COL, keep=keep)
+    return out.select(*keep, *_price_columns()).withColumn("provider_group_id", F.lit(None).cast("long"))
+
+
 def flatten_npi_rates(base: DataFrame, providers: DataFrame, in_network: DataFrame,
-                      keep_source: bool = False) -> DataFrame:
+                      keep_source: bool = False, include_inline: bool = False) -> DataFrame:
     """Q4: 22-column table, one row per (rate element, reference, price, provider
     group, npi). Rates with an unknown reference have no npi and drop out, so the
     join is inner."""
@@ -167,4 +184,7 @@ def flatten_npi_rates(base: DataFrame, providers: DataFrame, in_network: DataFra
     keep = [c for c in joined.columns if c != PRICES_COL]
     out = unnest(joined, PRICES_COL, PRICES_COL, keep=keep)
     cols = ([DOC_KEY] if keep_source else []) + NPI_RATES_COLUMNS
-    return out.select(*keep, *_price_columns()).select(*cols)
+    out = out.select(*keep, *_price_columns()).select(*cols)
+    if include_inline:
+        out = out.unionByName(inline_npi_rates(base, in_network).select(*cols))
+    return out

@@ -114,6 +114,16 @@ FROM rate_rows rr JOIN items it ON it.p_partkey = rr.l_partkey
 JOIN npis n ON n.provider_group_id = rr.ref
 """
 
+_INLINE = f"""
+{_Q4_BODY} WHERE it.p_size <> 17
+UNION ALL
+SELECT {_base_cols('TRUE')},
+  CAST(NULL AS BIGINT), 1000000000 + rr.ref * 10, 'npi', CAST(rr.ref AS VARCHAR), it.billing_code, 'CPT', '2024',
+  it.covered_services, it.description, it.name, CAST(NULL AS VARCHAR), rr.billing_class, '', rr.expiration_date,
+  rr.negotiated_rate, rr.negotiated_type, rr.service_code, 'ffs'
+FROM rate_rows rr JOIN items it ON it.p_partkey = rr.l_partkey WHERE it.p_size = 17
+"""
+
 _ELEMENTS = """
 SELECT it.billing_code, it.name, it.description, 'ffs' AS negotiation_arrangement,
   ps.n_prices, rl.provider_references, ps.min_rate, ps.max_rate
@@ -251,6 +261,7 @@ ORACLE_SQL = {
     "flatten_rates": _with(_Q2_BODY),
     "flatten_rates_keep_unmatched": _with(_Q2_BODY + _Q3_EXTRA),
     "flatten_npi_rates": _with(_Q4_BODY),
+    "inline_groups": _with(_INLINE),
     "providers_cross_base": _with(f"SELECT provider_group_id, location, {_base_cols('TRUE')} FROM prov"),
     "explode_rates": _with(_ELEMENTS),
     "explode_outer_rates": _with(_ELEMENTS + """
@@ -286,6 +297,7 @@ WHERE er.ref NOT IN (SELECT provider_group_id FROM prov)"""),
     "extracted_flatten_rates": _with(_Q2_BODY),
     **{name: _contract(fams) for name, fams in CONTRACT_FAMILIES.items()},
     "contract_numbers": _with(_NUMBERS),
+    "stream_flatten_rates": _with(_Q2_BODY),
     "default_arrays": _with("""
 SELECT it.billing_code, it.name, coalesce(s.n_rates, 0) AS n_rates,
   CAST(CASE WHEN it.p_size <= 10 THEN 1 ELSE 0 END AS BIGINT) AS n_covered,

@@ -19,7 +19,7 @@ from ..schemas import BASE_FIELDS, DOC_KEY, NPI_RATES_COLUMNS, RATES_COLUMNS
 from ..session import scratch_dir
 from ..operators import contract
 from ..schemas import RAW_DOCUMENT_DECIMAL_IDS
-from ..sources.fixtures import dirty_tables, fixture_tables, write_fixture_documents
+from ..sources.fixtures import dirty_tables, fixture_tables, inline_group_in_network, write_fixture_documents
 from ..sources.raw_json import read_documents
 from ..sources.raw_json import extract
 from ..sources.tables import read_tables, write_tables
@@ -56,6 +56,13 @@ def q_flatten_npi_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return arrays_as_text(fl.flatten_npi_rates(b, p, i))
 
 
+def q_inline_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E1: NPI rates where some items list provider groups inline, unioned into Q4."""
+    b, p, _ = _tables(spark, sf_dir)
+    i = inline_group_in_network(spark, sf_dir)
+    return arrays_as_text(fl.flatten_npi_rates(b, p, i, include_inline=True))
+
+
 def q_providers_cross_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     b, p, _ = _tables(spark, sf_dir)
     return fl.attach_base(p, b, [DOC_KEY, "provider_group_id", "location"]).drop(DOC_KEY)
@@ -277,6 +284,19 @@ def q_extracted_flatten_rates(spark, sf_dir):
     return arrays_as_text(fl.flatten_rates(*_extracted(spark, sf_dir, "stream")))
 
 
+def q_stream_flatten_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q2 run by Structured Streaming over the in_network files, read back from the sink."""
+    from ..streaming.incremental import stream_rates
+    b, p, i = _tables(spark, sf_dir)
+    items_path = scratch_dir(spark, "stream-items")
+    i.write.option("maxRecordsPerFile", 500).parquet(items_path)
+    out = scratch_dir(spark, "stream-rates")
+    q = stream_rates(spark, items_path, b, p, out)
+    q.awaitTermination()
+    schema = fl.flatten_rates(b, p, i).schema
+    return arrays_as_text(spark.read.schema(schema).parquet(out).select(*RATES_COLUMNS))
+
+
 def _contract_query(families: list[str]):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         v = contract.violations(*dirty_tables(spark, sf_dir))
@@ -314,6 +334,7 @@ SPARK_QUERIES = {
     "flatten_rates": q_flatten_rates,
     "flatten_rates_keep_unmatched": q_flatten_rates_keep_unmatched,
     "flatten_npi_rates": q_flatten_npi_rates,
+    "inline_groups": q_inline_groups,
     "providers_cross_base": q_providers_cross_base,
     "explode_rates": q_explode_rates,
     "explode_outer_rates": q_explode_outer_rates,
@@ -344,4 +365,5 @@ SPARK_QUERIES = {
     **{name: _contract_query(fams) for name, fams in CONTRACT_FAMILIES.items()},
     "contract_numbers": q_contract_numbers,
     "default_arrays": q_default_arrays,
+    "stream_flatten_rates": q_stream_flatten_rates,
 }

@@ -236,3 +236,20 @@ def dirty_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
 
     b = fixture_base(spark, sf_dir).withColumns({"plan_name": F.lit("P"), "plan_market_type": F.lit("small")})
     return b, p, i
+
+
+def inline_group_in_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fixture's in_network where items of parts of size 17 list provider
+    groups inline instead of references: one group per former reference, with
+    one npi (``NPI_BASE + ref * 10``) and tin (``npi``, ref)."""
+    i = fixture_in_network(spark, sf_dir, keep_keys=True)
+
+    def group(ref):
+        return F.struct(F.array(F.lit(NPI_BASE) + ref * 10).alias("npi"),
+                        F.struct(F.lit("npi").alias("type"), ref.cast("string").alias("value")).alias("tin"))
+
+    inline = F.transform("negotiated_rates", lambda r: r.withField(
+        "provider_groups", F.transform(r["provider_references"], group)).withField(
+        "provider_references", F.lit(None).cast("array<bigint>")))
+    rates = F.when(F.col("p_size") == 17, inline).otherwise(F.col("negotiated_rates"))
+    return i.withColumn("negotiated_rates", rates).select(*[f.name for f in IN_NETWORK_TABLE.fields])
