@@ -129,7 +129,11 @@ def fixture_in_network(spark: SparkSession, sf_dir: str, keep_keys: bool = False
         F.sort_array(F.collect_list(F.struct("l_returnflag", rate.alias("rate")))).alias("rates"))
     items = items.select("l_partkey", "chunk", F.transform("rates", lambda x: x["rate"]).alias("negotiated_rates"))
     part = read_table(spark, sf_dir, "part")
-    joined = part.join(items, part.p_partkey == items.l_partkey, "left")
+    # Items are few and wide, and every later step multiplies them (about 25
+    # flattened rows per item), so spread them over all cores: AQE would
+    # otherwise coalesce this small shuffle into a single task.
+    joined = part.join(items, part.p_partkey == items.l_partkey, "left").repartition(
+        spark.sparkContext.defaultParallelism)
     return joined.select(
         F.lit(FIXTURE_DOC).alias(DOC_KEY),
         F.lit("ffs").alias("negotiation_arrangement"),
