@@ -105,6 +105,8 @@ def join_rates_providers(base: DataFrame, providers: DataFrame, in_network: Data
     itself (the join with the header adds no rows when each document has one
     header), before any stage is marked for the report.
     """
+    if counter is not None and keep_unmatched:
+        raise ValueError("stage counts are kept for the rate flatten without unmatched rows")
     providers = providers.select(DOC_KEY, "provider_group_id")
     small = fits_broadcast(providers)
     pb = attach_base(providers, base, counter=counter)

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .joins import bounded_broadcast
 from ..operators.flatten import ITEM_COLUMNS, REF_COL, rate_references, used_references
 from ..schemas import DOC_KEY
 
@@ -34,10 +35,10 @@ def rates_by_code_and_type(rates: DataFrame, code: str, negotiated_type: str) ->
 def unknown_references(providers: DataFrame, in_network: DataFrame) -> DataFrame:
     """D1: rate references no provider group of the same document carries.
 
-    ``left_anti`` against the provider ids; the provider side is small and is
-    broadcast by the planner when its size allows, else the anti join shuffles."""
+    ``left_anti`` against the provider ids; the provider side is broadcast after a
+    bounded count, else the anti join shuffles (and AQE splits a hot reference)."""
     refs = rate_references(in_network)
-    known = providers.select(DOC_KEY, F.col("provider_group_id").alias(REF_COL))
+    known = bounded_broadcast(providers.select(DOC_KEY, F.col("provider_group_id").alias(REF_COL)))
     return refs.join(known, [DOC_KEY, REF_COL], "left_anti").select(
         DOC_KEY, *ITEM_COLUMNS, REF_COL, F.size("exploded_negotiated_rates_negotiated_prices").alias("n_prices"))
 

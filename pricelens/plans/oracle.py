@@ -267,6 +267,10 @@ ORACLE_SQL = {
     "explode_outer_rates": _with(_ELEMENTS + """
 UNION ALL SELECT billing_code, name, description, 'ffs', NULL, NULL, NULL, NULL FROM unsold"""),
     "explode_references": _with(_REFS),
+    "struct_fields": _with("""
+SELECT it.billing_code, it.name, CAST(NULL AS VARCHAR) AS additional_information, ep.billing_class,
+  '' AS billing_code_modifier, ep.expiration_date, ep.negotiated_rate, ep.negotiated_type, ep.service_code
+FROM el_prices ep JOIN items it ON it.p_partkey = ep.l_partkey"""),
     "join_references_right": _with(_JOINED),
     "join_references_full": _with(_JOINED + _JOINED_EXTRA),
     "stage_counts": _with(_STAGES),

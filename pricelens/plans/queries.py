@@ -98,6 +98,15 @@ def q_explode_references(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.array_min(F.transform(prices, lambda x: x["negotiated_rate"])).alias("min_rate"))
 
 
+def q_struct_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P1 + P2 + U3: one row per price of each rate element, struct fields aliased."""
+    from ..operators.unnest import struct_fields
+    _, _, i = _tables(spark, sf_dir)
+    r = fl.explode_rates(i)
+    p = unnest(r, F.col(f"{fl.RATE_COL}.negotiated_prices"), "price", keep=["billing_code", "name"])
+    return arrays_as_text(p.select("billing_code", "name", *struct_fields("price", fl.PRICE_FIELDS)))
+
+
 def _joined_summary(j: DataFrame) -> DataFrame:
     prices = F.col(fl.PRICES_COL)
     return j.select(*BASE_FIELDS, "provider_group_id", "billing_code", "name", fl.REF_COL,
@@ -339,6 +348,7 @@ SPARK_QUERIES = {
     "explode_rates": q_explode_rates,
     "explode_outer_rates": q_explode_outer_rates,
     "explode_references": q_explode_references,
+    "struct_fields": q_struct_fields,
     "join_references_right": q_join_references_right,
     "join_references_full": q_join_references_full,
     "stage_counts": q_stage_counts,
