@@ -7,8 +7,10 @@ into what the reference starts from, gzip JSON rate documents.
 
 Timed stages (their sum is "value"):
   preprocess_multiline  raw documents -> base / provider_references / in_network
-                        Parquet, Spark's multiLine JSON reader (Q1, K1, K2)
-  preprocess_stream     the same with the streaming item reader
+                        Parquet in one pass per document, Spark's multiLine JSON
+                        reader (Q1, K1, K2)
+  preprocess_stream     the same with the streaming item reader (binaryFile bytes)
+  preprocess_direct     the same, each task opening its file by path
   flatten_rates         Q2 from the Parquet tables (slim read schema), no-op sink
   flatten_keep_unmatched Q3, same
   flatten_npi_rates     Q4, same
@@ -36,8 +38,8 @@ from pricelens.plans.report import StageCounter  # noqa: E402
 from pricelens.session import build_session, scratch_dir  # noqa: E402
 from pricelens.operators.contract import violations  # noqa: E402
 from pricelens.sources.fixtures import write_fixture_documents  # noqa: E402
-from pricelens.sources.raw_json import extract  # noqa: E402
-from pricelens.sources.tables import NPI_NEEDS, RATES_NEEDS, read_tables, write_tables  # noqa: E402
+from pricelens.sources.raw_json import extract_to_tables  # noqa: E402
+from pricelens.sources.tables import NPI_NEEDS, RATES_NEEDS, read_tables  # noqa: E402
 
 
 def main() -> None:
@@ -65,12 +67,11 @@ def main() -> None:
         df.write.format("noop").mode("overwrite").save()
 
     def preprocess(method):
-        root = scratch_dir(spark, f"bench-tables-{method}")
-        write_tables(*extract(spark, docs, method), root)
-        return root
+        return extract_to_tables(spark, docs, scratch_dir(spark, f"bench-tables-{method}"), method)
 
     timed("preprocess_multiline", lambda: preprocess("multiline"))
-    root = timed("preprocess_stream", lambda: preprocess("stream"))
+    timed("preprocess_stream", lambda: preprocess("stream"))
+    root = timed("preprocess_direct", lambda: preprocess("direct"))
 
     timed("flatten_rates", lambda: noop(flatten_rates(*read_tables(spark, root, RATES_NEEDS))))
     timed("flatten_keep_unmatched",

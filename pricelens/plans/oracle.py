@@ -299,6 +299,9 @@ WHERE er.ref NOT IN (SELECT provider_group_id FROM prov)"""),
     "extract_providers_stream": _with(_EXTRACT_PROVIDERS),
     "extract_in_network_stream": _with(_EXTRACT_ITEMS),
     "extracted_flatten_rates": _with(_Q2_BODY),
+    "preprocess_multiline": _with(_EXTRACT_ITEMS),
+    "preprocess_stream": _with(_EXTRACT_PROVIDERS),
+    "preprocess_direct_flatten": _with(_Q2_BODY),
     **{name: _contract(fams) for name, fams in CONTRACT_FAMILIES.items()},
     "contract_numbers": _with(_NUMBERS),
     "stream_flatten_rates": _with(_Q2_BODY),

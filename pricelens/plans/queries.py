@@ -21,7 +21,7 @@ from ..operators import contract
 from ..schemas import RAW_DOCUMENT_DECIMAL_IDS
 from ..sources.fixtures import dirty_tables, fixture_tables, inline_group_in_network, write_fixture_documents
 from ..sources.raw_json import read_documents
-from ..sources.raw_json import extract
+from ..sources.raw_json import extract, extract_to_tables
 from ..sources.tables import read_tables, write_tables
 from . import layout, lookup
 from .report import StageCounter, sample_rows
@@ -263,6 +263,25 @@ def _items_out(i: DataFrame) -> DataFrame:
                     code_list_text(F.col("covered_services")).alias("covered_services"))
 
 
+def _preprocessed(spark: SparkSession, sf_dir: str, method: str):
+    """Q1 + K1 + K2 in one pass per document: raw documents to the three tables."""
+    docs = write_fixture_documents(spark, sf_dir, scratch_dir(spark, "documents"))
+    root = extract_to_tables(spark, docs, scratch_dir(spark, f"preprocessed-{method}"), method)
+    return read_tables(spark, root)
+
+
+def q_preprocess_multiline(spark, sf_dir):
+    return _items_out(_preprocessed(spark, sf_dir, "multiline")[2])
+
+
+def q_preprocess_stream(spark, sf_dir):
+    return _providers_out(_preprocessed(spark, sf_dir, "stream")[1])
+
+
+def q_preprocess_direct_flatten(spark, sf_dir):
+    return arrays_as_text(fl.flatten_rates(*_preprocessed(spark, sf_dir, "direct")))
+
+
 def q_extract_base(spark, sf_dir):
     return _base_out(_extracted(spark, sf_dir, "multiline")[0])
 
@@ -372,6 +391,9 @@ SPARK_QUERIES = {
     "extract_providers_stream": q_extract_providers_stream,
     "extract_in_network_stream": q_extract_in_network_stream,
     "extracted_flatten_rates": q_extracted_flatten_rates,
+    "preprocess_multiline": q_preprocess_multiline,
+    "preprocess_stream": q_preprocess_stream,
+    "preprocess_direct_flatten": q_preprocess_direct_flatten,
     **{name: _contract_query(fams) for name, fams in CONTRACT_FAMILIES.items()},
     "contract_numbers": q_contract_numbers,
     "default_arrays": q_default_arrays,
