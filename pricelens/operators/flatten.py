@@ -128,7 +128,8 @@ def join_rates_providers(base: DataFrame, providers: DataFrame, in_network: Data
 
 
 def flatten_rates(base: DataFrame, providers: DataFrame, in_network: DataFrame,
-                  keep_unmatched: bool = False, keep_source: bool = False, counter=None) -> DataFrame:
+                  keep_unmatched: bool = False, keep_source: bool = False, counter=None,
+                  cluster_by: str | None = None) -> DataFrame:
     """Q2 (and Q3 with ``keep_unmatched``): 19-column rate table, one row per
     (rate element, provider reference, price).
 
@@ -137,6 +138,10 @@ def flatten_rates(base: DataFrame, providers: DataFrame, in_network: DataFrame,
     and header columns. Q3 keeps every one of those rows, with NULLs.
     """
     joined = join_rates_providers(base, providers, in_network, keep_unmatched, counter)
+    if cluster_by:
+        # Cluster for the write before prices multiply the rows: the shuffle moves
+        # one row per reference with its price array, not one wide row per price.
+        joined = joined.hint("rebalance", cluster_by)
     keep = [DOC_KEY, *BASE_FIELDS, "provider_group_id", *ITEM_COLUMNS, REF_COL, "negotiation_arrangement"]
     out = unnest(joined, PRICES_COL, PRICES_COL, keep=keep, keep_empty=keep_unmatched)
     cols = ([DOC_KEY] if keep_source else []) + RATES_COLUMNS
@@ -172,7 +177,8 @@ def inline_npi_rates(base: DataFrame, in_network: DataFrame) -> DataFrame:
 
 
 def flatten_npi_rates(base: DataFrame, providers: DataFrame, in_network: DataFrame,
-                      keep_source: bool = False, include_inline: bool = False) -> DataFrame:
+                      keep_source: bool = False, include_inline: bool = False,
+                      cluster_by: str | None = None) -> DataFrame:
     """Q4: 22-column table, one row per (rate element, reference, price, provider
     group, npi). Rates with an unknown reference have no npi and drop out, so the
     join is inner."""
@@ -183,6 +189,8 @@ def flatten_npi_rates(base: DataFrame, providers: DataFrame, in_network: DataFra
         F.col("p.provider_group_id"), "p.npi", "p.tin_type", "p.tin",
         *[F.col(f"r.{c}") for c in ITEM_COLUMNS], "r.covered_services",
         F.col(f"r.{PRICES_COL}"), "r.negotiation_arrangement")
+    if cluster_by:
+        joined = joined.hint("rebalance", cluster_by)
     keep = [c for c in joined.columns if c != PRICES_COL]
     out = unnest(joined, PRICES_COL, PRICES_COL, keep=keep)
     cols = ([DOC_KEY] if keep_source else []) + NPI_RATES_COLUMNS

@@ -14,12 +14,16 @@ from pyspark.sql import DataFrame, SparkSession
 PARTITION_COLUMN = "billing_code"
 
 
-def _cluster(df: DataFrame, by: str, rebalance: bool) -> DataFrame:
+def _cluster(df: DataFrame, by: str, rebalance: bool | None) -> DataFrame:
+    """``True``: rebalance hint; ``False``: hash repartition as the reference did;
+    ``None``: the caller already clustered the rows (e.g. ``flatten_rates(cluster_by=)``)."""
+    if rebalance is None:
+        return df
     return df.hint("rebalance", by) if rebalance else df.repartition(by)
 
 
 def write_bucketed(df: DataFrame, table: str, path: str, bucket_column: str, buckets: int = 2,
-                   rebalance: bool = True) -> None:
+                   rebalance: bool | None = True) -> None:
     """Parquet, overwrite, partitioned by billing_code, bucketed and sorted by
     ``bucket_column``, at ``path``, registered as ``table``."""
     (_cluster(df, PARTITION_COLUMN, rebalance).write.format("parquet").mode("overwrite")
@@ -27,18 +31,18 @@ def write_bucketed(df: DataFrame, table: str, path: str, bucket_column: str, buc
      .option("path", path).saveAsTable(table))
 
 
-def write_rates(rates: DataFrame, table: str, path: str, buckets: int = 2, rebalance: bool = True) -> None:
+def write_rates(rates: DataFrame, table: str, path: str, buckets: int = 2, rebalance: bool | None = True) -> None:
     """K3: the 19-column rate table, buckets on negotiated_type."""
     write_bucketed(rates, table, path, "negotiated_type", buckets, rebalance)
 
 
-def write_npi_rates(npi_rates: DataFrame, table: str, path: str, buckets: int = 2, rebalance: bool = True) -> None:
+def write_npi_rates(npi_rates: DataFrame, table: str, path: str, buckets: int = 2, rebalance: bool | None = True) -> None:
     """K4: the 22-column NPI table, buckets on npi. Size ``buckets`` by data volume:
     a bucket file per code is read whole by an npi lookup."""
     write_bucketed(npi_rates, table, path, "npi", buckets, rebalance)
 
 
-def write_partitions(df: DataFrame, path: str, dynamic: bool = True, rebalance: bool = True) -> None:
+def write_partitions(df: DataFrame, path: str, dynamic: bool = True, rebalance: bool | None = True) -> None:
     """K5: Hive-style ``billing_code=<code>/`` directories of snappy Parquet.
 
     With ``dynamic`` only the codes present in ``df`` are replaced and other

@@ -125,3 +125,18 @@ def test_rows_property_on_fixture(spark):
                 .select((F.size("r.provider_references") * F.size("r.negotiated_prices")).alias("n"))
                 .agg(F.sum("n")).first()[0])
     assert flatten_rates(b, p, i).count() == expected
+
+
+def test_slim_schema_reaches_the_scan(spark, tmp_dir):
+    """Only the leaves Q2 needs are read: no covered/bundled codes, no inline groups."""
+    from pricelens.sources.fixtures import fixture_tables
+    from pricelens.sources.tables import RATES_NEEDS, read_tables, write_tables
+    from conftest import SF_SMALL
+    write_tables(*fixture_tables(spark, SF_SMALL), tmp_dir)
+    b, p, i = read_tables(spark, tmp_dir, RATES_NEEDS)
+    plan = flatten_rates(b, p, i)._jdf.queryExecution().executedPlan().toString()
+    scans = [ln for ln in plan.splitlines() if "table=in_network" in ln]
+    assert scans
+    for name in ("covered_services", "bundled_codes", "provider_groups", "location"):
+        assert name not in plan, name
+    assert "negotiated_prices" in plan
