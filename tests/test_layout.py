@@ -62,3 +62,26 @@ def test_text_chunks_gzip():
     import gzip
     raw = gzip.compress("héllo wörld".encode("utf-8"))
     assert "".join(text_chunks(raw, gzipped=True, size=3)) == "héllo wörld"
+
+
+def test_stream_reader_nulls_mistyped_values_like_spark(spark, tmp_dir):
+    """An id of 2.0, a string id and a numeric name become NULL in both readers."""
+    from pricelens.sources.raw_json import extract
+    doc = ('{"reporting_entity_name":"E","reporting_entity_type":"t","last_updated_on":"2024-12-01",'
+           '"version":"1","provider_references":[{"provider_group_id":2.0,"location":"https://a"},'
+           '{"provider_group_id":"x"},{"provider_group_id":7}],'
+           '"in_network":[{"billing_code":"1","name":5,"negotiated_rates":[{"provider_references":[7, 1.5],'
+           '"negotiated_prices":[{"negotiated_rate":3,"billing_class":"institutional"}]}]}]}')
+    with open(f"{tmp_dir}/d.json", "w") as f:
+        f.write(doc)
+    got = {}
+    for method in ("multiline", "stream"):
+        b, p, i = extract(spark, tmp_dir, method)
+        got[method] = (sorted((r.provider_group_id is None, r.provider_group_id) for r in p.collect()),
+                       [(r.name, [x.provider_references for x in r.negotiated_rates],
+                         [x.negotiated_prices[0].negotiated_rate for x in r.negotiated_rates]) for r in i.collect()])
+    assert got["stream"][0] == [(False, 7), (True, None), (True, None)]
+    assert got["stream"][1] == [("5", [[7, None]], [3.0])]
+    assert got["multiline"][0] == got["stream"][0]
+    # Spark's reader drops the whole array holding a mistyped element; ours drops the element.
+    assert got["multiline"][1] == [("5", [None], [3.0])]
