@@ -61,7 +61,8 @@ def test_json_stream_walks_top_level():
 def test_text_chunks_gzip():
     import gzip
     raw = gzip.compress("héllo wörld".encode("utf-8"))
-    assert "".join(text_chunks(raw, gzipped=True, size=3)) == "héllo wörld"
+    assert "".join(text_chunks(raw, size=3)) == "héllo wörld"
+    assert "".join(text_chunks("plain ü".encode("utf-8"), size=2)) == "plain ü"
 
 
 def test_stream_reader_nulls_mistyped_values_like_spark(spark, tmp_dir):
