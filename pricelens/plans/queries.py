@@ -233,10 +233,20 @@ def q_sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sample_rows(q_flatten_rates(spark, sf_dir), 5)
 
 
+_DOCUMENTS: dict[tuple[str, str, bool], str] = {}
+
+
+def _documents(spark: SparkSession, sf_dir: str, fractional_ids: bool = False) -> str:
+    """The fixture as raw documents, written once per application and data set."""
+    key = (spark.sparkContext.applicationId, sf_dir, fractional_ids)
+    if key not in _DOCUMENTS:
+        _DOCUMENTS[key] = write_fixture_documents(spark, sf_dir, scratch_dir(spark, "documents"), fractional_ids)
+    return _DOCUMENTS[key]
+
+
 def _extracted(spark: SparkSession, sf_dir: str, method: str):
     """Q1: the fixture written as gzip JSON documents, then extracted again."""
-    path = write_fixture_documents(spark, sf_dir, scratch_dir(spark, "documents"))
-    return extract(spark, path, method)
+    return extract(spark, _documents(spark, sf_dir), method)
 
 
 def _base_out(b: DataFrame) -> DataFrame:
@@ -265,8 +275,7 @@ def _items_out(i: DataFrame) -> DataFrame:
 
 def _preprocessed(spark: SparkSession, sf_dir: str, method: str):
     """Q1 + K1 + K2 in one pass per document: raw documents to the three tables."""
-    docs = write_fixture_documents(spark, sf_dir, scratch_dir(spark, "documents"))
-    root = extract_to_tables(spark, docs, scratch_dir(spark, f"preprocessed-{method}"), method)
+    root = extract_to_tables(spark, _documents(spark, sf_dir), scratch_dir(spark, f"preprocessed-{method}"), method)
     return read_tables(spark, root)
 
 
@@ -345,7 +354,7 @@ CONTRACT_FAMILIES = {
 
 def q_contract_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C13 on raw documents whose nation-2 provider ids end in .5."""
-    path = write_fixture_documents(spark, sf_dir, scratch_dir(spark, "documents"), fractional_ids=True)
+    path = _documents(spark, sf_dir, fractional_ids=True)
     return contract.number_violations(read_documents(spark, path, RAW_DOCUMENT_DECIMAL_IDS))
 
 
