@@ -103,7 +103,7 @@ def main() -> None:
 
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
-        "metric": "pipeline_total_sec",
+        "metric": "rate_jobs_total_sec",
         "value": round(sum(times.values()), 3),
         "unit": "sec",
         "queries": times,

@@ -166,7 +166,7 @@ def q_code_files_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_external_table_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _code_files(spark, sf_dir)
-    t = layout.register_rates(spark, _table_name("processed_data"), path)
+    t = layout.register_rates(spark, _table_name("rates_external"), path)
     return t.select("billing_code", "negotiated_rate", "description")
 
 
