@@ -101,14 +101,14 @@ def join_rates_providers(base: DataFrame, providers: DataFrame, in_network: Data
     with ``keep_unmatched`` providers that no rate uses are added with NULL rate
     columns, and items without rates or references stay as NULL rows.
 
-    The broadcast decision for the provider side is taken on the provider table
-    itself (the join with the header adds no rows when each document has one
-    header), before any stage is marked for the report.
+    The broadcast decision for the provider side is taken on exactly the rows
+    that would be broadcast (providers joined with their headers), on an unmarked
+    copy of the plan, so the bounded count does not feed the stage report.
     """
     if counter is not None and keep_unmatched:
         raise ValueError("stage counts are kept for the rate flatten without unmatched rows")
     providers = providers.select(DOC_KEY, "provider_group_id")
-    small = fits_broadcast(providers)
+    small = fits_broadcast(attach_base(providers, base))
     pb = attach_base(providers, base, counter=counter)
     marked = _mark(counter, "in_network", in_network)
     rates = _mark(counter, "rates_exploded", explode_rates(marked, keep_empty=keep_unmatched))
@@ -184,7 +184,9 @@ def flatten_npi_rates(base: DataFrame, providers: DataFrame, in_network: DataFra
     join is inner."""
     pn = npi_providers(base, providers)
     rates = rate_references(in_network, extra=["covered_services"])
-    joined = _join_providers(pn, rates, "inner", fits_broadcast(providers)).select(
+    # The bound is checked on the (group, npi) rows themselves: a group may carry
+    # thousands of npis, so the provider count says nothing about their size.
+    joined = _join_providers(pn, rates, "inner").select(
         F.col(f"r.{DOC_KEY}"), *[F.col(f"p.{c}") for c in BASE_FIELDS],
         F.col("p.provider_group_id"), "p.npi", "p.tin_type", "p.tin",
         *[F.col(f"r.{c}") for c in ITEM_COLUMNS], "r.covered_services",

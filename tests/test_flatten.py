@@ -140,3 +140,25 @@ def test_slim_schema_reaches_the_scan(spark, tmp_dir):
     for name in ("covered_services", "bundled_codes", "provider_groups", "location"):
         assert name not in plan, name
     assert "negotiated_prices" in plan
+
+
+def test_npi_bound_counts_npis_not_providers(spark):
+    """One provider row with 5 npis and a bound of 3 rows: the npi side is not broadcast."""
+    b = base_rows(spark)
+    p = providers(spark, [("d1", 1, "https://a/1", [([11, 12, 13, 14, 15], ("ein", "1"))])])
+    i = in_network(spark, [item("00100", [rate([price(1.0)], [1])])])
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("pricelens.broadcast.maxRows", "3")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = flatten_npi_rates(b, p, i)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        inner = [ln for ln in plan.splitlines() if "Inner" in ln and "npi" not in ln.split("[")[0]]
+        assert not any("BroadcastHashJoin" in ln and "provider_references" in ln for ln in plan.splitlines())
+        assert any("SortMergeJoin" in ln or "ShuffledHashJoin" in ln for ln in inner)
+        assert out.count() == 5
+    finally:
+        spark.conf.unset("pricelens.broadcast.maxRows")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
