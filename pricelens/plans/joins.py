@@ -1,8 +1,8 @@
 """Join strategy helpers.
 
-A side is broadcast only after a bounded count proved it small; otherwise the
+A side is broadcast only after a bounded probe proved it small; otherwise the
 join stays a shuffle join and AQE (skew-join splitting, runtime broadcast) takes
-over. The count reads at most ``max_rows + 1`` rows, so it stays cheap even when
+over. The probe reads at most ``max_rows + 1`` rows, so it stays cheap even when
 the side turns out to be large.
 """
 
@@ -20,10 +20,17 @@ def max_broadcast_rows(spark: SparkSession) -> int:
 
 
 def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    The probe is a collected limit over a constant column: Spark runs it like
+    ``take``, scanning one partition, then four times as many, and stops once
+    ``max_rows + 1`` rows turned up, so a large side costs a few partitions, not a
+    task per partition (as ``limit(n).count()`` would), and the driver receives at
+    most ``max_rows + 1`` one-byte rows."""
     limit = max_broadcast_rows(df.sparkSession) if max_rows is None else max_rows
     if limit <= 0:
         return False
-    return df.limit(limit + 1).count() <= limit
+    return len(df.select(F.lit(1).cast("tinyint").alias("x")).limit(limit + 1).collect()) <= limit
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
