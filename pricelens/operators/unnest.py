@@ -36,3 +36,11 @@ def unnest(df: DataFrame, path: str | Column, alias: str, keep: Iterable[str | C
 def struct_fields(struct_col: str, fields: Iterable[str], prefix: str = "") -> list[Column]:
     """``struct_col.f AS prefix+f`` for each field (P2); a missing struct gives NULLs."""
     return [F.col(f"{struct_col}.{f}").alias(f"{prefix}{f}") for f in fields]
+
+
+def explode_in_place(df: DataFrame, column: str, new_name: str, keep_empty: bool = True) -> DataFrame:
+    """U6 + P4: explode an array column where it stands, then rename it (every
+    other column keeps its place). ``keep_empty`` keeps NULL and empty arrays as
+    one NULL row."""
+    gen = F.explode_outer if keep_empty else F.explode
+    return df.withColumn(column, gen(F.col(column))).withColumnRenamed(column, new_name)

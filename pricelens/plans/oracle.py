@@ -265,6 +265,8 @@ ORACLE_SQL = {
     "providers_cross_base": _with(f"SELECT provider_group_id, location, {_base_cols('TRUE')} FROM prov"),
     "explode_rates": _with(_ELEMENTS),
     "explode_outer_rates": _with(_ELEMENTS + """
+UNION ALL SELECT billing_code, name, description, 'ffs', NULL, NULL, NULL, NULL FROM unsold"""),
+    "rename_fields": _with(_ELEMENTS + """
 UNION ALL SELECT billing_code, name, description, 'ffs', NULL, NULL, NULL, NULL FROM unsold"""),
     "explode_references": _with(_REFS),
     "struct_fields": _with("""

@@ -89,6 +89,14 @@ def q_explode_outer_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("billing_code", "name", "description", "negotiation_arrangement", *_rate_summary(fl.RATE_COL))
 
 
+def q_rename_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P4 + U6: negotiated_rates exploded in place (NULL-preserving) and renamed."""
+    from ..operators.unnest import explode_in_place
+    _, _, i = _tables(spark, sf_dir)
+    r = explode_in_place(i, "negotiated_rates", fl.RATE_COL)
+    return r.select("billing_code", "name", "description", "negotiation_arrangement", *_rate_summary(fl.RATE_COL))
+
+
 def q_explode_references(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, _, i = _tables(spark, sf_dir)
     r = fl.rate_references(i)
@@ -376,6 +384,7 @@ SPARK_QUERIES = {
     "explode_rates": q_explode_rates,
     "explode_outer_rates": q_explode_outer_rates,
     "explode_references": q_explode_references,
+    "rename_fields": q_rename_fields,
     "struct_fields": q_struct_fields,
     "join_references_right": q_join_references_right,
     "join_references_full": q_join_references_full,
