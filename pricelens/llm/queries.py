@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelens.llm import chunk_recipes, poisson_mix, simhash_tiles
+from pricelens.llm import chunk_recipes, poisson_mix, repeat_spans, simhash_tiles, topk_segments
 from pricelens.llm.common import read_table
 
 
@@ -22,10 +22,21 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_tiles.near_groups(read_table(spark, sf_dir, "documents"), shingle=3, radius=3)
 
 
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = topk_segments.quantised_rows(read_table(spark, sf_dir, "embeddings"))
+    return topk_segments.top_k(rows.filter("vec_id % 100 = 0"), rows, k=10)
+
+
+def op10_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_spans.remove_repeats(read_table(spark, sf_dir, "documents"), length=100).drop("kept")
+
+
 LLM_QUERIES = {
     "op4_mix_sources": op4_mix_sources,
     "op5_simhash": op5_simhash,
+    "op7_topk": op7_topk,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_repeated_spans": op10_repeated_spans,
 }
 
 OP9_SQL = r"""
@@ -68,7 +79,24 @@ SELECT doc_id, unnest(range(1, copies + 1))::INTEGER AS copy, source, text,
 FROM k
 """
 
+OP7_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, x -> floor(1024 * x::DOUBLE)::BIGINT) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         coalesce(list_sum(list_transform(list_zip(q.e, c.e), p -> p[1] * p[2])), 0)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id),
+r AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+  FROM s)
+SELECT * FROM r WHERE rank <= 10
+"""
+
 LLM_ORACLE_SQL = {
     "op4_mix_sources": OP4_SQL,
+    "op7_topk": OP7_SQL,
     "op9_exact_dedup": OP9_SQL,
 }
