@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelens.llm import chunk_recipes, poisson_mix, repeat_spans, simhash_tiles, topk_segments
+from pricelens.llm import (
+    chunk_recipes, html_template, piece_tokenizer, poisson_mix, repeat_spans, simhash_tiles, topk_segments,
+)
 from pricelens.llm.common import read_table
 
 
+TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_recipes.exact_groups(read_table(spark, sf_dir, "documents"))
 
@@ -31,7 +36,18 @@ def op10_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeat_spans.remove_repeats(read_table(spark, sf_dir, "documents"), length=100).drop("kept")
 
 
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_template.extract(read_table(spark, sf_dir, "pages"))
+
+
+def op8_sentencepiece(spark: SparkSession, sf_dir: str, model: str = TOKENIZER) -> DataFrame:
+    data = piece_tokenizer.load_model(spark, model)
+    return piece_tokenizer.encode(read_table(spark, sf_dir, "documents"), data, with_ids=False)
+
+
 LLM_QUERIES = {
+    "op1_html_text": op1_html_text,
+    "op8_sentencepiece": op8_sentencepiece,
     "op4_mix_sources": op4_mix_sources,
     "op5_simhash": op5_simhash,
     "op7_topk": op7_topk,
@@ -81,13 +97,13 @@ FROM k
 
 OP7_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(1024 * x::DOUBLE)::BIGINT) AS e
+  SELECT vec_id, [floor(1024 * x::DOUBLE)::BIGINT for x in embedding] AS e
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
 s AS (
   SELECT q.vec_id AS query_id, c.vec_id,
-         coalesce(list_sum(list_transform(list_zip(q.e, c.e), p -> p[1] * p[2])), 0)::BIGINT AS score
+         coalesce(list_sum([p[1] * p[2] for p in list_zip(q.e, c.e)]), 0)::BIGINT AS score
   FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id),
 r AS (
   SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
