@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelens.llm import (
-    chunk_recipes, html_template, piece_tokenizer, poisson_mix, repeat_spans, simhash_tiles, topk_segments,
+    chunk_recipes, compress_quality, html_template, piece_tokenizer, poisson_mix, repeat_spans, simhash_tiles,
+    topk_segments, toxicity, warc_revisit,
 )
 from pricelens.llm.common import read_table
 
@@ -18,6 +19,20 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_recipes.exact_groups(read_table(spark, sf_dir, "documents"))
 
 
+def op2_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_revisit.resolve(warc_revisit.captures_of(read_table(spark, sf_dir, "pages")))
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return compress_quality.score(docs, compress_quality.fit(docs, read_table(spark, sf_dir, "labels")), threshold=0.3)
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, read_table(spark, sf_dir, "labels")), threshold=0.5)
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return poisson_mix.mix(docs).select("doc_id", "copy", "source", "text", "mix_key")
@@ -47,10 +62,13 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str, model: str = TOKENIZER)
 
 LLM_QUERIES = {
     "op1_html_text": op1_html_text,
-    "op8_sentencepiece": op8_sentencepiece,
+    "op2_warc_revisits": op2_warc_revisits,
+    "op3_quality": op3_quality,
     "op4_mix_sources": op4_mix_sources,
     "op5_simhash": op5_simhash,
+    "op6_toxicity": op6_toxicity,
     "op7_topk": op7_topk,
+    "op8_sentencepiece": op8_sentencepiece,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_repeated_spans": op10_repeated_spans,
 }
@@ -112,6 +130,7 @@ SELECT * FROM r WHERE rank <= 10
 """
 
 LLM_ORACLE_SQL = {
+    "op2_warc_revisits": warc_revisit.REVISIT_SQL,
     "op4_mix_sources": OP4_SQL,
     "op7_topk": OP7_SQL,
     "op9_exact_dedup": OP9_SQL,
