@@ -60,12 +60,8 @@ def colliding_identifiers(drafts: DataFrame) -> DataFrame:
     """(hash, digest, ordinal) of chunks whose 64-bit hash is shared by another chunk: none, as a rule."""
     pairs = drafts.select(F.explode(F.arrays_zip("hashes", "digests")).alias("c")).select(
         F.col("c.hashes").alias("hash"), F.col("c.digests").alias("digest"))
-    ids = pairs.groupBy("hash").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi"))
-    clashing = ids.filter("lo <> hi").select("hash")
-    distinct = pairs.join(clashing, "hash", "left_semi").distinct()
-    # Only colliding hashes reach this window: a handful of digests per key at most.
-    order = Window.partitionBy("hash").orderBy("digest")
-    return distinct.withColumn("ordinal", F.row_number().over(order))
+    digests = pairs.groupBy("hash").agg(F.sort_array(F.collect_set("digest")).alias("d"))  # one digest, as a rule
+    return digests.filter(F.size("d") > 1).select("hash", F.posexplode("d").alias("ordinal", "digest"))
 
 
 def verified_recipes(drafts: DataFrame) -> DataFrame:
