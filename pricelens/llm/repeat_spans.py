@@ -18,9 +18,11 @@ emit 12 % of all positions and more; this one samples about 2.8 %.
 2. Names. Samples of one class have equal windows throughout, so all but the earliest are
    repeated. This is settled inside each Arrow batch first (pre-aggregation: a class crosses
    the shuffle once per batch), then by one sort on (key, class, position).
-3. Remaining windows. Where one key has several classes (the borders of shared passages),
-   the windows of each class's earliest sample are named singly, by 128-bit hashes, and
-   sorted; adjacent equal names are repeats.
+3. Recursion. Where one key has several classes, the earliest samples of the classes are
+   renamed by a longer core: the windows that reach far to the left of the sample share the
+   bytes before it, the others those after it. Chance repetitions of short grams end here.
+   Where a core still has several classes (the borders of shared passages), the windows
+   are named singly, by 128-bit hashes, and sorted; adjacent equal names are repeats.
 4. Repeated windows return to their documents as runs, and the runs are cut out.
 
 Every stage is a shuffle by hash with bounded rows; a document's runs meet only that
@@ -51,7 +53,8 @@ BASE = 0x9E3779B97F4A7C15  # an odd multiplier
 MIX = 0xD6E8FEB86659FD93
 LAST_ID = (1 << 63) - 1  # stands for a null doc_id in comparisons
 POSITION_BITS = 24
-RUN_BITS = 8  # a run of windows is packed as start << RUN_BITS | count
+# A run of windows is packed as start << 16 | (sample's distance from start) << 8 | count.
+START_BITS, SAMPLE_BITS, LOW = 16, 8, 255
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -100,23 +103,23 @@ def sliding_first_min(values: np.ndarray, width: int) -> np.ndarray:
 def samples(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int, gram: int):
     """Runs of windows by their sample, over documents laid end to end.
 
-    Returns (doc number, first window, number of windows, hash of the sampled gram); a
-    run's count stays below 256 because two runs' samples differ within a window.
+    Returns (doc number, first window, number of windows, sample's place, hash of the
+    sampled gram); all windows of a run hold its sample, so a count stays below 256.
     """
     empty = np.empty(0, np.int64)
     if len(data) < length:
-        return empty, empty, empty, np.empty(0, np.uint64)
+        return empty, empty, empty, empty, np.empty(0, np.uint64)
     h = gram_hashes(data, gram)
     anchor = _anchors(h, length - gram + 1)
     doc = np.repeat(np.arange(len(starts)), ends - starts)[: len(anchor)]
     ok = np.arange(len(anchor)) + length <= ends[doc]
     at = np.flatnonzero(ok)
     if not len(at):
-        return empty, empty, empty, np.empty(0, np.uint64)
+        return empty, empty, empty, empty, np.empty(0, np.uint64)
     a, d = anchor[at], doc[at]
     new = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (d[1:] != d[:-1])])
     count = np.diff(np.r_[new, len(at)])
-    return d[new], at[new], count, h[a[new]]
+    return d[new], at[new], count, a[new], h[a[new]]
 
 
 def _anchors(h: np.ndarray, width: int) -> np.ndarray:
@@ -148,6 +151,10 @@ CANDIDATE, REPEATED, BORDER = 0, 1, 2
 ROWS = "key long, cls long, id long, tag int, run long, kind int"
 
 
+def _packed(start, sample, count):
+    return start << START_BITS | sample << SAMPLE_BITS | count
+
+
 def _rows(key, cls, ids, tag, run, kind) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([
         pa.array(key.view(np.int64)), pa.array(cls.view(np.int64)), pa.array(ids), pa.array(tag),
@@ -176,7 +183,7 @@ def _status(key, cls, ids, run, before):
         going = first == 0
         first_id, first_run = first_id.copy(), first_run.copy()
         first_id[going], first_run[going] = before[2], before[3]
-    later = (ids != first_id) | (run >> RUN_BITS != first_run >> RUN_BITS)
+    later = (ids != first_id) | (run >> START_BITS != first_run >> START_BITS)
     kind = np.where(later, REPEATED, CANDIDATE).astype(np.int32)
     return kind, (key[-1], cls[-1], first_id[-1], first_run[-1])
 
@@ -192,11 +199,11 @@ def sample_rows(docs: DataFrame, length: int, gram: int) -> DataFrame:
             blob = b"".join(texts[lo:hi])
             ends = np.cumsum([len(t) for t in texts[lo:hi]])
             starts = np.r_[0, ends[:-1]]
-            d, first, count, key = samples(np.frombuffer(blob, np.uint8), starts, ends, length, gram)
+            d, first, count, place, key = samples(np.frombuffer(blob, np.uint8), starts, ends, length, gram)
             stop = (first + count - 1 + length).tolist()
             cls = np.array([xxhash.xxh3_64_intdigest(blob[s:e]) for s, e in zip(first.tolist(), stop, strict=True)],
                            dtype=np.uint64)
-            found.append((key, cls, ids[lo + d], tags[lo + d], (first - starts[d]) << RUN_BITS | count))
+            found.append((key, cls, ids[lo + d], tags[lo + d], _packed(first - starts[d], place - first, count)))
         key, cls, i, t, r = (np.concatenate(x) for x in zip(*found, strict=True))
         if len(key):
             yield _named_in_batch(key, cls, i, t, r)
@@ -211,7 +218,7 @@ def settled(rows: DataFrame, borders: bool) -> DataFrame:
     key has several classes. Rows settled before ride along under a spread key.
     """
     spread = F.when(F.col("kind") == REPEATED, F.xxhash64("id", "run")).otherwise(F.col("key"))
-    dealt = rows.withColumn("part", spread).repartition("part").sortWithinPartitions("kind", "key", "cls", "id", "run")
+    dealt = rows.repartition(spread).sortWithinPartitions("kind", "key", "cls", "id", "run")
     names = ["id", "tag", "run", "kind"]
 
     def run(batches):
@@ -268,10 +275,37 @@ def _by_document(runs: DataFrame) -> DataFrame:
 
 
 def _with_runs(docs: DataFrame, runs: DataFrame, how: str) -> DataFrame:
+    """Documents with the list of their runs. All uses take the same columns, so the texts are shuffled once."""
     listed = _by_document(runs).hint("shuffle_hash")
     return docs.join(listed, (F.col("id") == F.col("r_id")) & (F.col("tag") == F.col("r_tag")), how)
 
 
+def core_rows(docs: DataFrame, borders: DataFrame, length: int, gram: int) -> DataFrame:
+    """BORDER runs renamed by longer cores: windows starting far before the sample, and the others."""
+    reach = (length - gram + 1) // 2  # windows starting this far before the sample hold that many bytes before it
+
+    def run(batch: pa.RecordBatch):
+        key, cls, row, out = [], [], [], []
+        name = xxhash.xxh3_64_intdigest
+        for n, (text, runs) in enumerate(zip(_texts(batch.column(2)), batch.column(3), strict=True)):
+            for r in runs.values.to_pylist():
+                start, sample, count = r >> START_BITS, r >> SAMPLE_BITS & LOW, r & LOW
+                at = start + sample
+                turn = min(max(at - reach + 1, start), start + count)  # first window that starts near the sample
+                for lo, hi, a, z in ((start, turn, at - reach, at + gram), (turn, start + count, at, at + length - reach + 1)):
+                    if lo < hi:
+                        key.append(name(text[a:z], 1 + (a == at)))
+                        cls.append(name(text[lo: hi - 1 + length]))
+                        row.append(n)
+                        out.append(_packed(lo, at - lo, hi - lo) if at >= lo else _packed(lo, 0, hi - lo))
+        at = np.array(row, np.int64)
+        yield _named_in_batch(np.array(key, np.uint64), np.array(cls, np.uint64), batch.column(0).to_numpy()[at],
+                              batch.column(1).to_numpy()[at], np.array(out, np.int64))
+
+    source = _with_runs(docs, borders, "inner").select("id", "tag", "text", "runs", "doc_id")
+    return map_batches(source, run, ROWS)
+
+
 def window_rows(docs: DataFrame, borders: DataFrame, length: int) -> DataFrame:
     """The single windows of BORDER runs, named by a 128-bit hash."""
 
@@ -280,7 +314,7 @@ def window_rows(docs: DataFrame, borders: DataFrame, length: int) -> DataFrame:
         texts = _texts(batch.column(2))
         for n, (text, runs) in enumerate(zip(texts, batch.column(3), strict=True)):
             r = runs.values.to_numpy()
-            first, count = r >> RUN_BITS, r & ((1 << RUN_BITS) - 1)
+            first, count = r >> START_BITS, r & LOW
             at = np.repeat(first, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
             at = np.unique(at)
             names = b"".join(xxhash.xxh3_128_digest(text[p: p + length]) for p in at.tolist())
@@ -288,9 +322,9 @@ def window_rows(docs: DataFrame, borders: DataFrame, length: int) -> DataFrame:
         name, n, at = (np.concatenate(x) for x in zip(*found, strict=True))
         ids, tags = batch.column(0).to_numpy()[n], batch.column(1).to_numpy()[n]
         yield _named_in_batch(np.ascontiguousarray(name[:, 0]), np.ascontiguousarray(name[:, 1]), ids, tags,
-                              at << RUN_BITS | 1)
+                              _packed(at, 0, 1))
 
-    source = _with_runs(docs, borders, "inner").select("id", "tag", "text", "runs")
+    source = _with_runs(docs, borders, "inner").select("id", "tag", "text", "runs", "doc_id")
     return map_batches(source, run, ROWS)
 
 
@@ -299,7 +333,7 @@ def cut(text: bytes, runs: np.ndarray, length: int) -> tuple[bytes, int, int]:
     if not len(runs):
         return text, 0, 0
     edge = np.zeros(len(text) + 1, np.int64)
-    first, count = runs >> RUN_BITS, runs & ((1 << RUN_BITS) - 1)
+    first, count = runs >> START_BITS, runs & LOW
     np.add.at(edge, first, 1)
     np.add.at(edge, first + count - 1 + length, -1)
     gone = np.cumsum(edge[:-1]) > 0
@@ -309,25 +343,34 @@ def cut(text: bytes, runs: np.ndarray, length: int) -> tuple[bytes, int, int]:
 
 
 def keyed_documents(docs: DataFrame) -> DataFrame:
-    """doc_id, id (never null), tag (tells rows of one doc_id apart by text), text as bytes."""
+    """doc_id, id (never null), tag (tells rows of one doc_id apart by text), text as bytes.
+
+    Tags are needed only in a table that has repeated doc_ids; elsewhere all are 0 and
+    weigh nothing in a compressed shuffle.
+    """
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("id"),
-        F.hash(text).alias("tag"), text.cast("binary").alias("text"))
+    number = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID))
+    repeated = docs.groupBy(number.alias("id")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    tag = F.coalesce(F.pmod(F.hash(text), F.lit(1 if repeated.isEmpty() else (1 << 31) - 1)), F.lit(0))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), number.alias("id"), tag.alias("tag"),
+                       text.cast("binary").alias("text"))
 
 
 def repeated_runs(keyed: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """(id, tag, run): the repeated windows of every document, packed as runs."""
+
+    def of(settled_rows: DataFrame, kind: int) -> DataFrame:
+        return settled_rows.filter(F.col("kind") == kind).select("id", "tag", "run")
+
     first = written(settled(sample_rows(keyed, length, gram), borders=True), "repeats")
-    single = settled(window_rows(keyed, first.filter(F.col("kind") == BORDER), length), borders=False)
-    return first.filter(F.col("kind") == REPEATED).select("id", "tag", "run").unionByName(
-        single.select("id", "tag", "run"))
+    second = settled(core_rows(keyed, of(first, BORDER), length, gram), borders=True)
+    third = settled(window_rows(keyed, of(second, BORDER), length), borders=False)
+    return of(first, REPEATED).unionByName(of(second, REPEATED)).unionByName(of(third, REPEATED))
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the remaining bytes)."""
-    if not 1 <= gram < length or length - gram + 1 >= 1 << RUN_BITS:
+    if not 1 <= gram < length or length - gram + 1 > LOW:
         raise ValueError("gram must be below length, by less than 255")
     keyed = keyed_documents(docs)
     source = _with_runs(keyed, repeated_runs(keyed, length, gram), "left").select("doc_id", "text", "runs")
