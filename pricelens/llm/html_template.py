@@ -8,13 +8,14 @@
    class says menu, header, footer, sidebar, notice, advert, form or reader comment are
    deleted as well, also on hosts with too few pages to count.
 
-The article is the outermost ``article`` elements (else ``main``, else the element with
-most paragraph text of its own, else the whole page). Paragraphs and headings inside it are
-never deleted as template: copies and quoted passages recur on many pages, too.
+The article is the outermost ``article`` elements, else ``main``, else what the templates
+leave of the page. Paragraphs and headings inside it (on pages without such elements: inside
+the element with most paragraph text of its own) are never deleted as template, as copies
+and quoted passages recur on many pages, too.
 
 Scale: the parse writes each page's text pieces and hashes to the shared checkpoint folder;
-only (host, hash) counts, pre-aggregated, and the few hashes of a page are shuffled, never
-the markup. A host with a third of all pages is a pre-aggregated key like any other, and the
+only (host, hash) counts, pre-aggregated, and the blocks of pages that a template may
+touch are shuffled, never the markup. A host with a third of all pages is a pre-aggregated key like any other, and the
 joins back are equi-joins that adaptive execution splits.
 
 Defined cases: a null or empty html gives an empty text; a null url or one without host
@@ -174,17 +175,16 @@ def _in_dropped(n: Node | None) -> bool:
     return False
 
 
-def _zones(order: list[Node]) -> list[Node]:
-    """The elements that hold the article."""
+def _zones(order: list[Node]) -> tuple[list[Node], list[Node]]:
+    """(elements that hold the article's text, elements whose prose no template may delete)."""
     for tag in ("article", "main"):
         found = [n for n in order if n.tag == tag and not _in_dropped(n)]
         if found:
             inside = {id(n) for n in found}
-            return [n for n in found if not any(id(p) in inside for p in _above(n))]
+            outer = [n for n in found if not any(id(p) in inside for p in _above(n))]
+            return outer, outer
     dense = max((n for n in order if n.own_p and n.tag != "p" and not _in_dropped(n)), key=lambda n: n.own_p, default=None)
-    if dense is not None:
-        return [dense]
-    return order[-1:]
+    return order[-1:], [dense] if dense is not None else []
 
 
 def _above(n: Node):
@@ -201,8 +201,9 @@ def pieces(html: str | None) -> tuple[list[tuple[str, list[int]]], list[int]]:
     root = parse(html)
     order = _post_order(root)
     _hash_subtrees(order)
-    zones = _zones(order)
-    holds = {id(p) for z in zones for p in _above(z)} | {id(z) for z in zones}
+    zones, guarded = _zones(order)
+    guard_ids = {id(z) for z in guarded}
+    holds = {id(p) for z in guarded for p in _above(z)} | guard_ids
     blocks: list[tuple[str, list[int]]] = []
     marks: dict[int, None] = {}
     text: list[str] = []
@@ -213,13 +214,13 @@ def pieces(html: str | None) -> tuple[list[tuple[str, list[int]]], list[int]]:
             blocks.append((line, list(chain)))
         text.clear()
 
-    # Frames: (node, inside the article, emits text, inside the article's own header, next kid)
+    # Frames: (node, inside the article, emits text, inside the article's own header, next kid, prose is guarded)
     zone_ids = {id(z) for z in zones}
-    stack = [[root, id(root) in zone_ids, True, False, 0]]
+    stack = [[root, id(root) in zone_ids, True, False, 0, id(root) in guard_ids]]
     counted: list[bool] = [False]
     while stack:
         frame = stack[-1]
-        n, inside, emits, header, at = frame
+        n, inside, emits, header, at, guard = frame
         if at == len(n.kids):
             stack.pop()
             if n.tag in BLOCK:
@@ -239,19 +240,17 @@ def pieces(html: str | None) -> tuple[list[tuple[str, list[int]]], list[int]]:
         if k.tag in BLOCK:
             flush()
         in_zone = inside or id(k) in zone_ids
-        if k.tag not in ("html", "head", "body") and id(k) not in holds and not (inside and k.tag in PROSE and not k.drop) \
-                and (k.tag in BLOCK or k.drop or k.words):
-            prose = inside and not k.drop and any(
+        countable = k.tag not in ("html", "head", "body") and id(k) not in holds and (k.tag in BLOCK or k.drop or k.words)
+        if countable and guard and not k.drop:
+            countable = k.tag not in PROSE and not any(
                 type(x) is Node and (x.tag in PROSE or x.tag == "div") for x in k.kids)
-            countable = not prose and (not inside or k.drop or bool(k.words) or k.tag in BLOCK)
-        else:
-            countable = False
         if countable and k.kids:
             marks[k.digest] = None
             chain.append(k.digest)
-        counted.append(countable and bool(k.kids))
-        gone = k.drop or (k.tag == "header" and not in_zone)
-        stack.append([k, in_zone, emits and not gone, header or (in_zone and k.tag == "header"), 0])
+        counted.append(bool(countable and k.kids))
+        own_header = k.tag == "header" and (guard or id(n) in guard_ids)
+        gone = k.drop or (k.tag == "header" and not own_header)
+        stack.append([k, in_zone, emits and not gone, header or own_header, 0, guard or id(k) in guard_ids])
     flush()
     return blocks, list(marks)
 
@@ -293,14 +292,23 @@ def templates(parsed: DataFrame, min_pages: int = MIN_PAGES, min_share: float =
 
 
 def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """page_id, url, text, n_chars and n_template_subtrees (recurring subtrees deleted), one row per page."""
+    """page_id, url, text and n_chars, one row per page.
+
+    Only pages with a block inside a countable subtree need the templates; all others are
+    complete after the parse and are not shuffled.
+    """
     parsed = parsed_pages(pages)
-    marked = parsed.select("row_id", "host", F.explode("marks").alias("mark"))
+    exposed = F.exists("blocks", lambda b: F.size(b["d"]) > 0)
+
+    def finished(df: DataFrame, blocks) -> DataFrame:
+        text = F.array_join(F.transform(blocks, lambda b: b["t"]), "\n")
+        return df.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
+
+    open_pages = parsed.filter(exposed)
+    marked = open_pages.select("row_id", "host", F.explode(F.array_distinct(F.flatten(F.transform(
+        "blocks", lambda b: b["d"])))).alias("mark"))
     found = marked.join(templates(parsed, min_pages, min_share), ["host", "mark"]).groupBy("row_id").agg(
         F.collect_set("mark").alias("found"))
     kept = F.filter("blocks", lambda b: F.col("found").isNull() | ~F.arrays_overlap(b["d"], F.col("found")))
-    return parsed.join(found, "row_id", "left").select(
-        "page_id", "url", F.array_join(F.transform(kept, lambda b: b["t"]), "\n").alias("text"),
-        F.coalesce(F.size("found"), F.lit(0)).alias("n_template_subtrees"),
-    ).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"),
-             F.greatest("n_template_subtrees", F.lit(0)).alias("n_template_subtrees"))
+    return finished(parsed.filter(~exposed), F.col("blocks")).unionByName(
+        finished(open_pages.join(found, "row_id", "left"), kept))
