@@ -52,11 +52,10 @@ def source_rates(docs: DataFrame, temperature: float = 0.5, weights: dict[str, f
         for name, w in weights.items():
             weight = F.when(F.col("source").eqNullSafe(F.lit(name)), F.lit(float(w))).otherwise(weight)
     stats = stats.withColumn("weight", weight)
-    total = stats.agg(F.sum("weight").alias("all_weight"), F.sum("n_chars").alias("all_chars"))
-    share = F.col("weight") / F.col("all_weight")
-    rate = F.round(F.lit(float(mean_rate)) * share * F.col("all_chars") / F.col("n_chars"), 6)
-    return stats.join(F.broadcast(total)).select(  # one row of totals
-        "source", "n_docs", share.alias("weight"), F.coalesce(rate, F.lit(0.0)).alias("rate"))
+    total = stats.agg(F.sum("weight").alias("weight"), F.sum("n_chars").alias("n_chars")).first()  # one row
+    share = F.col("weight") / F.lit(float(total["weight"] or 0.0))
+    rate = F.round(F.lit(float(mean_rate)) * share * F.lit(total["n_chars"] or 0) / F.col("n_chars"), 6)
+    return stats.select("source", "n_docs", share.alias("weight"), F.coalesce(rate, F.lit(0.0)).alias("rate"))
 
 
 def poisson_cdf(rate: Column) -> Column:

@@ -67,12 +67,11 @@ def weak(tag: Column) -> Column:
 
 def _slotted(records: DataFrame, slots: int) -> DataFrame:
     """Slim records with ``slot``: the time axis of the whole table in equal parts."""
-    span = records.agg(  # one row
-        F.min("ts").alias("t0"), F.max("ts").alias("t1"),
-        F.greatest(F.lit(slots), F.ceil(F.count(F.lit(1)) / SLOT_ROWS)).alias("parts"))
-    width = F.greatest(F.ceil((F.col("t1") - F.col("t0") + 1) / F.col("parts")), F.lit(1))
-    slot = F.floor((F.col("ts") - F.col("t0")) / width).cast("int")
-    return records.join(F.broadcast(span)).withColumn("slot", slot).drop("t0", "t1", "parts")
+    span = records.agg(F.min("ts").alias("t0"), F.max("ts").alias("t1"), F.count(F.lit(1)).alias("n")).first()  # one row
+    t0, t1 = span["t0"] or 0, span["t1"] or 0
+    parts = max(slots, -(-span["n"] // SLOT_ROWS))
+    width = max(-(-(t1 - t0 + 1) // parts), 1)
+    return records.withColumn("slot", F.floor((F.col("ts") - F.lit(t0)) / F.lit(width)).cast("int"))
 
 
 def resolve(records: DataFrame, slots: int = SLOTS) -> DataFrame:
