@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ..plans.joins import bounded_broadcast, fits_broadcast
 from ..schemas import BASE_FIELDS, DOC_KEY, NPI_RATES_COLUMNS, PRICE_FIELDS, RATES_COLUMNS
-from .unnest import unnest
+from .unnest import flatten_present, unnest
 
 RATE_COL = "exploded_negotiated_rates"
 PRICES_COL = "exploded_negotiated_rates_negotiated_prices"
@@ -76,7 +76,7 @@ def used_references(in_network: DataFrame) -> DataFrame:
     """Distinct (document, reference) pairs. Reads only the references leaf of the
     nested column; the distinct is pre-aggregated on the map side, so a reference
     used a billion times crosses the shuffle once per map task."""
-    refs = F.flatten(F.col("negotiated_rates.provider_references"))
+    refs = flatten_present(F.col("negotiated_rates.provider_references"))
     return (in_network.select(DOC_KEY, F.explode(refs).alias(REF_COL))
             .where(F.col(REF_COL).isNotNull()).distinct())
 

@@ -18,6 +18,11 @@ def _as_column(path: str | Column) -> Column:
     return F.col(path) if isinstance(path, str) else path
 
 
+def flatten_present(arrays) -> Column:
+    """The elements of all inner arrays; a NULL inner array counts as empty (``F.flatten`` alone gives NULL)."""
+    return F.flatten(F.filter(arrays, lambda a: a.isNotNull()))
+
+
 def unnest(df: DataFrame, path: str | Column, alias: str, keep: Iterable[str | Column] | None = None,
            keep_empty: bool = False) -> DataFrame:
     """Explode the array at ``path`` (a column or a field of a struct column) into ``alias``.

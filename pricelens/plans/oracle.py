@@ -13,12 +13,10 @@ _BASE = "'E', 'insurer', '2024-12-01', '1.0.0'"
 _FACILITY_OFFSET = 1 << 40
 
 CTES = f"""
-hot AS (SELECT l_partkey FROM lineitem GROUP BY l_partkey HAVING count(*) > 4096),
 li AS (
-  SELECT l.l_partkey, l.l_suppkey, l.l_linenumber, l.l_extendedprice, l.l_returnflag,
-         l.l_linestatus, l.l_shipdate,
-         CASE WHEN h.l_partkey IS NULL THEN -1 ELSE l.l_orderkey // 1024 END AS chunk
-  FROM lineitem l LEFT JOIN hot h ON l.l_partkey = h.l_partkey),
+  SELECT l_partkey, l_suppkey, l_linenumber, l_extendedprice, l_returnflag, l_linestatus, l_shipdate,
+         l_orderkey // 1048576 AS chunk
+  FROM lineitem),
 el_refs AS (SELECT DISTINCT l_partkey, chunk, l_returnflag, l_suppkey AS ref FROM li),
 el_prices AS (
   SELECT DISTINCT l_partkey, chunk, l_returnflag,

@@ -14,7 +14,7 @@ import uuid
 
 from ..functions.text import arrays_as_text, code_list_text
 from ..operators import flatten as fl
-from ..operators.unnest import unnest
+from ..operators.unnest import flatten_present, unnest
 from ..schemas import BASE_FIELDS, DOC_KEY, NPI_RATES_COLUMNS, RATES_COLUMNS
 from ..session import scratch_dir
 from ..operators import contract
@@ -264,7 +264,7 @@ def _base_out(b: DataFrame) -> DataFrame:
 def _providers_out(p: DataFrame) -> DataFrame:
     groups = F.col("provider_groups")
     return p.select("provider_group_id", "location",
-                    F.array_join(F.flatten(F.transform(groups, lambda g: g["npi"])), ",").alias("npis"),
+                    F.array_join(flatten_present(F.transform(groups, lambda g: g["npi"])), ",").alias("npis"),
                     F.array_join(F.transform(groups, lambda g: F.concat_ws(":", g["tin"]["type"], g["tin"]["value"])),
                                  ",").alias("tins"))
 
@@ -336,7 +336,7 @@ def q_stream_flatten_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     items_path = scratch_dir(spark, "stream-items")
     i.write.option("maxRecordsPerFile", 500).parquet(items_path)
     out = scratch_dir(spark, "stream-rates")
-    q = stream_rates(spark, items_path, b, p, out)
+    q = stream_rates(spark, items_path, b, p, out, scratch_dir(spark, "stream-checkpoint"))
     q.awaitTermination()
     schema = fl.flatten_rates(b, p, i).schema
     return arrays_as_text(spark.read.schema(schema).parquet(out).select(*RATES_COLUMNS))

@@ -15,6 +15,14 @@ REPORT_SCHEMA = StructType([StructField("stage", StringType()), StructField("col
                             StructField("rows", LongType())])
 
 
+def _observed(obs: Observation) -> int:
+    """The observed rows; 0 for a stage that the optimizer dropped because it is empty."""
+    try:
+        return int(obs.get["rows"])
+    except AssertionError:
+        return 0
+
+
 class StageCounter:
     """Collects (stage, columns, rows) for the stages of one plan."""
 
@@ -28,7 +36,7 @@ class StageCounter:
 
     def report(self, spark: SparkSession) -> DataFrame:
         """Call after the final plan ran; one row per marked stage."""
-        rows = [(name, ncols, int(obs.get["rows"])) for name, ncols, obs in self._stages]
+        rows = [(name, ncols, _observed(obs)) for name, ncols, obs in self._stages]
         return spark.createDataFrame(rows, REPORT_SCHEMA)
 
 

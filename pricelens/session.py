@@ -50,6 +50,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     (a test, a laptop) do we pick a fresh local folder and record it.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to storage that all executors share")
     if not root:
         root = tempfile.mkdtemp(prefix="pricelens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)

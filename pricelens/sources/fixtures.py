@@ -14,9 +14,9 @@ TPC-H-like star schema, so the three nested tables are built from it:
   (part, return flag) with the distinct suppliers as references and the distinct
   prices; NULL rates for a part never sold.
 
-A part sold more than ``HOT_PART_ROWS`` times is split into several items by
-ranges of ``HOT_PART_ORDER_SPAN`` order keys, so no nested array (and no group of
-the aggregation building it) is unbounded, whatever the skew of lineitem.
+A part's sales are split into several items by ranges of ``ORDER_SPAN`` order keys
+(the same rule for every part, whatever its rows), so no nested array (and no group of
+the aggregation building it) grows with the table.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.unnest import flatten_present
 from ..plans.joins import bounded_broadcast
 from ..schemas import BASE_FIELDS, BASE_TABLE, DOC_KEY, IN_NETWORK_TABLE, PLAN_FIELDS, PROVIDERS_TABLE
 
@@ -33,8 +34,7 @@ BASE_ROW = ("E", "insurer", "2024-12-01", "1.0.0")
 LOCATION_PREFIX = "https://providers.example.org/"
 FACILITY_OFFSET = 1 << 40          # provider_group_id of a supplier's facility group
 NPI_BASE = 1_000_000_000           # npi = NPI_BASE + suppkey * 10 + i
-HOT_PART_ROWS = 4096
-HOT_PART_ORDER_SPAN = 1024
+ORDER_SPAN = 1 << 20
 PARTS_PER_DOCUMENT = 500
 
 
@@ -90,12 +90,8 @@ def price_struct() -> Column:
 
 
 def item_chunk(spark: SparkSession, lineitem: DataFrame) -> DataFrame:
-    """Adds ``chunk``: -1 for a normal part, the order-key range for a hot part."""
-    hot = (lineitem.groupBy("l_partkey").agg(F.count(F.lit(1)).alias("n"))
-           .where(F.col("n") > HOT_PART_ROWS).select("l_partkey", F.lit(True).alias("hot")))
-    li = lineitem.join(bounded_broadcast(hot), "l_partkey", "left")
-    chunk = F.when(F.col("hot"), F.expr(f"l_orderkey div {HOT_PART_ORDER_SPAN}")).otherwise(F.lit(-1))
-    return li.withColumn("chunk", chunk.cast("long")).drop("hot")
+    """Adds ``chunk``, the order-key range: one rule for every part."""
+    return lineitem.withColumn("chunk", F.expr(f"l_orderkey div {ORDER_SPAN}").cast("long"))
 
 
 def fixture_rate_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -157,10 +153,9 @@ def fixture_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
 
 def document_key(partkey: Column, chunk: Column) -> Column:
     """Raw documents hold the items of ``PARTS_PER_DOCUMENT`` consecutive parts;
-    each chunk of a hot part is a document of its own, so documents stay bounded."""
+    each order-key chunk of them is a document of its own, so documents stay bounded."""
     block = F.expr(f"p_partkey div {PARTS_PER_DOCUMENT}").cast("string")
-    return (F.when(chunk.isNull() | (chunk == -1), F.concat(F.lit("doc-"), block))
-            .otherwise(F.concat(F.lit("doc-"), partkey.cast("string"), F.lit("-"), chunk.cast("string"))))
+    return F.concat(F.lit("doc-"), block, F.lit("-"), F.coalesce(chunk, F.lit(0)).cast("string"))
 
 
 def write_fixture_documents(spark: SparkSession, sf_dir: str, path: str, fractional_ids: bool = False) -> str:
@@ -177,7 +172,7 @@ def write_fixture_documents(spark: SparkSession, sf_dir: str, path: str, fractio
     item_fields = [f.name for f in IN_NETWORK_TABLE.fields if f.name != DOC_KEY]
     item_text = items.groupBy("doc", DOC_KEY).agg(
         F.array_join(F.sort_array(F.collect_list(F.to_json(F.struct(*item_fields)))), ",").alias("items"))
-    refs = items.select("doc", DOC_KEY, F.explode(F.flatten("negotiated_rates.provider_references")).alias("ref"))
+    refs = items.select("doc", DOC_KEY, F.explode(flatten_present(F.col("negotiated_rates.provider_references"))).alias("ref"))
     refs = refs.distinct()
     prov = refs.join(providers, [refs[DOC_KEY] == providers[DOC_KEY], refs.ref == providers.provider_group_id])
     prov_json = F.to_json(F.struct("provider_group_id", "location", "provider_groups"))

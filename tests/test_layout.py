@@ -62,14 +62,16 @@ def test_text_chunks_gzip():
     import gzip
     raw = gzip.compress("héllo wörld".encode("utf-8"))
     assert "".join(text_chunks(raw, size=3)) == "héllo wörld"
+    two = raw + gzip.compress(b" again")
+    assert "".join(text_chunks(two, size=5)) == "héllo wörld again"
     assert "".join(text_chunks("plain ü".encode("utf-8"), size=2)) == "plain ü"
 
 
 def test_stream_reader_nulls_mistyped_values_like_spark(spark, tmp_dir):
-    """An id of 2.0, a string id and a numeric name become NULL in both readers."""
+    """A fractional id, an id beyond 64 bits and a string id become NULL, alone or beside whole ones; 3.0 is 3."""
     from pricelens.sources.raw_json import extract
     doc = ('{"reporting_entity_name":"E","reporting_entity_type":"t","last_updated_on":"2024-12-01",'
-           '"version":"1","provider_references":[{"provider_group_id":2.0,"location":"https://a"},'
+           '"version":"1","provider_references":[{"provider_group_id":2.5,"location":"https://a"},'
            '{"provider_group_id":"x"},{"provider_group_id":7}],'
            '"in_network":[{"billing_code":"1","name":5,"negotiated_rates":[{"provider_references":[7, 1.5],'
            '"negotiated_prices":[{"negotiated_rate":3,"billing_class":"institutional"}]}]}]}')
@@ -86,3 +88,8 @@ def test_stream_reader_nulls_mistyped_values_like_spark(spark, tmp_dir):
     assert got["multiline"][0] == got["stream"][0]
     # Spark's reader drops the whole array holding a mistyped element; ours drops the element.
     assert got["multiline"][1] == [("5", [None], [3.0])]
+    with open(f"{tmp_dir}/d.json", "w") as f:
+        f.write('{"provider_references":[{"provider_group_id":2.5},{"provider_group_id":3.0},'
+                '{"provider_group_id":7},{"provider_group_id":1180591620717411303424}],"in_network":[]}')
+    _, p, _ = extract(spark, tmp_dir, "stream")
+    assert sorted(str(r.provider_group_id) for r in p.collect()) == ["3", "7", "None", "None"]

@@ -9,19 +9,19 @@ import pyarrow.parquet as pq
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
-from pricelens.sources.fixtures import HOT_PART_ROWS, fixture_in_network
+from pricelens.sources.fixtures import ORDER_SPAN, fixture_in_network
 
 
 def _skewed_dir(tmp_dir):
     for t in ("supplier", "part", "region", "nation"):
         pq.write_table(pq.read_table(f"{SF_SMALL}/{t}.parquet"), f"{tmp_dir}/{t}.parquet")
     li = pq.read_table(f"{SF_SMALL}/lineitem.parquet")
-    n = HOT_PART_ROWS * 2
+    n = 8192
     base = li.slice(0, 1).to_pylist()[0]
     extra = []
     for k in range(n):
         row = dict(base)
-        row.update(l_orderkey=10_000 + k // 3, l_linenumber=k % 3 + 1, l_partkey=7,
+        row.update(l_orderkey=10_000 + k // 3 * (ORDER_SPAN // 512), l_linenumber=k % 3 + 1, l_partkey=7,
                    l_suppkey=k % 10, l_extendedprice=100.0 + k)
         extra.append(row)
     hot = pa.Table.from_pylist(extra, schema=li.schema)
@@ -36,7 +36,7 @@ def test_hot_part_is_split_and_matches_oracle(spark, tmp_dir):
     assert hot_items > 1
     biggest = items.selectExpr("aggregate(transform(negotiated_rates, r -> size(r.negotiated_prices)), 0, "
                                "(a, b) -> a + b) AS n").agg({"n": "max"}).first()[0]
-    assert biggest <= HOT_PART_ROWS
+    assert biggest < 4096
     con = duckdb.connect()
     for t in ("supplier", "part", "lineitem", "region"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{os.path.join(d, t)}.parquet')")
