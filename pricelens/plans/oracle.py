@@ -57,8 +57,7 @@ npis AS (
   FROM (SELECT *, unnest(range(suppkey % 3)) AS i FROM prov WHERE s_acctbal >= 1000)),
 doc_items AS (
   SELECT p_partkey, chunk,
-    CASE WHEN chunk = -1 THEN 'doc-' || CAST(p_partkey // 500 AS VARCHAR)
-         ELSE 'doc-' || CAST(p_partkey AS VARCHAR) || '-' || CAST(chunk AS VARCHAR) END AS doc
+    'doc-' || CAST(p_partkey // 500 AS VARCHAR) || '-' || CAST(greatest(chunk, 0) AS VARCHAR) AS doc
   FROM (SELECT DISTINCT l_partkey AS p_partkey, chunk FROM li UNION ALL SELECT p_partkey, -1 FROM unsold)),
 doc_refs AS (
   SELECT DISTINCT d.doc, er.ref FROM el_refs er
