@@ -1,6 +1,5 @@
-"""Every registered query against its DuckDB oracle on the smallest data set."""
+"""Every rate query against its DuckDB oracle on the smallest data set (text queries: tests/llm)."""
 
-import math
 import os
 
 import duckdb
@@ -8,6 +7,8 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
+from pricelens.plans.oracle import ORACLE_SQL
+from pricelens.plans.queries import SPARK_QUERIES
 
 TABLES = ["supplier", "part", "lineitem", "region", "nation"]
 
@@ -32,11 +33,11 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_matches_oracle(spark, duck, name):
-    df = entry.queries()[name](spark, SF_SMALL)
+    df = SPARK_QUERIES[name](spark, SF_SMALL)
     srows = [tuple(r) for r in df.collect()]
-    res = duck.execute(entry.oracle_sql()[name])
+    res = duck.execute(ORACLE_SQL[name])
     dcols = [d[0] for d in res.description]
     drows = res.fetchall()
     assert sorted(df.columns) == sorted(dcols)
@@ -50,6 +51,6 @@ def test_entry_runs(spark):
     assert df.count() > 0
 
 
-def test_every_query_registered_has_oracle_or_is_rows_only():
-    rows_only = set(entry.queries()) - set(entry.oracle_sql())
-    assert rows_only <= {"sample_rows", "raw_document_rows"}, rows_only
+def test_every_rate_query_has_an_oracle():
+    assert set(SPARK_QUERIES) == set(ORACLE_SQL)
+    assert set(SPARK_QUERIES) <= set(entry.queries())
