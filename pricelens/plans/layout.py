@@ -37,11 +37,19 @@ def write_rates(rates: DataFrame, table: str, path: str, buckets: int = 2, rebal
 
 
 def write_npi_rates(npi_rates: DataFrame, table: str, path: str, buckets: int = 2, rebalance: bool | None = True) -> None:
-    """K4: the 22-column NPI table, buckets on npi. Size ``buckets`` by data volume:
-    a bucket file per code is read whole by an npi lookup."""
+    """K4: the 22-column NPI table, buckets on npi. Buckets only divide each
+    code's files; for lookups by npi alone write ``write_npi_lookup`` too."""
     write_bucketed(npi_rates, table, path, "npi", buckets, rebalance)
 
 
+def write_npi_lookup(npi_rates: DataFrame, path: str) -> None:
+    """A copy of the NPI table for lookups by npi: ranges of (npi, billing_code), sorted within
+    each file, so a filter on npi skips all row groups but those that hold it. The second
+    range column lets an npi with a third of all rows spread over several files."""
+    (npi_rates.repartitionByRange("npi", PARTITION_COLUMN).sortWithinPartitions("npi", PARTITION_COLUMN)
+     .write.mode("overwrite").parquet(path))
+
+
 def write_partitions(df: DataFrame, path: str, dynamic: bool = True, rebalance: bool | None = True) -> None:
     """K5: Hive-style ``billing_code=<code>/`` directories of snappy Parquet.
 

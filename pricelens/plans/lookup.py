@@ -2,8 +2,9 @@
 
 Lookups filter on the partition column (directory pruning) and on the bucket
 column (file pruning within a directory; needs
-``spark.sql.sources.bucketing.autoBucketedScan.enabled=false``), so a lookup
-reads one directory, or one bucket file of it.
+``spark.sql.sources.bucketing.autoBucketedScan.enabled=false``), so a lookup by code
+reads one directory, or one bucket file of it. A lookup by npi reads the copy sorted by
+npi (``layout.write_npi_lookup``), where row-group statistics skip all other npis.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ def rates_by_code(rates: DataFrame, code: str, columns: list[str] | None = None)
 
 
 def rates_by_npi(npi_rates: DataFrame, npi: int) -> DataFrame:
-    """L3: rates of one NPI (bucket filter)."""
+    """L3: rates of one NPI (pushed down to the row groups of the copy sorted by npi)."""
     return npi_rates.where(F.col("npi") == F.lit(npi).cast("long"))
 
 

@@ -9,8 +9,9 @@ the fixture (header row, offsets, thresholds) are repeated here as literals.
 from __future__ import annotations
 
 # Fixed values, equal to those in sources/fixtures.py.
-_BASE = "'E', 'insurer', '2024-12-01', '1.0.0'"
+_BASE = "(SELECT min(r_name) FROM region), (SELECT max(r_name) FROM region), '2024-12-01', '1.0.0'"
 _FACILITY_OFFSET = 1 << 40
+_SHIFTED_OFFSET = 1 << 41
 
 CTES = f"""
 li AS (
@@ -42,9 +43,10 @@ items AS (
   FROM part),
 unsold AS (SELECT * FROM items WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem)),
 prov AS (
-  SELECT s_suppkey AS provider_group_id, s_suppkey AS suppkey, s_acctbal,
+  SELECT s_suppkey + CASE WHEN s_acctbal < 0 THEN {_SHIFTED_OFFSET} ELSE 0 END AS provider_group_id,
+         s_suppkey AS suppkey, s_acctbal,
          'https://providers.example.org/' || CAST(s_suppkey AS VARCHAR) AS location, s_nationkey
-  FROM supplier WHERE s_acctbal >= 0
+  FROM supplier
   UNION ALL
   SELECT s_suppkey + {_FACILITY_OFFSET}, s_suppkey, s_acctbal,
          'https://providers.example.org/facility/' || CAST(s_suppkey AS VARCHAR), s_nationkey
@@ -185,17 +187,25 @@ SELECT pr.provider_group_id, pr.location,
     array_to_string(list_transform(range(pr.suppkey % 3), lambda i: 1000000000 + pr.suppkey * 10 + i), ',') END AS npis,
   CASE WHEN pr.s_acctbal >= 1000 THEN
     (CASE WHEN pr.suppkey % 2 = 0 THEN 'ein' ELSE 'npi' END) || ':' || CAST(pr.suppkey AS VARCHAR) END AS tins
-FROM doc_refs dr JOIN prov pr ON pr.provider_group_id = dr.ref"""
+FROM doc_refs dr JOIN prov pr ON pr.suppkey = dr.ref"""
 
 _EXTRACT_ITEMS = """
-SELECT it.billing_code, it.name, it.description, s.n_rates, r.n_refs, s.n_prices, it.covered_services
+SELECT it.billing_code, it.name, it.description, s.n_rates, r.n_refs, CAST(s.n_prices AS BIGINT) AS n_prices,
+  p.cents, p.codes, p.n_negotiated, p.n_professional, p.first_date, p.last_date, it.covered_services
 FROM (SELECT l_partkey, chunk, count(*) AS n_rates, sum(n_prices) AS n_prices
       FROM el_price_stats GROUP BY l_partkey, chunk) s
 JOIN (SELECT l_partkey, chunk, count(*) AS n_refs FROM el_refs GROUP BY l_partkey, chunk) r
   ON r.l_partkey = s.l_partkey AND r.chunk = s.chunk
+JOIN (SELECT l_partkey, chunk, CAST(sum(CAST(round(negotiated_rate * 100) AS BIGINT)) AS BIGINT) AS cents,
+             CAST(sum(CAST(service_code AS BIGINT)) AS BIGINT) AS codes,
+             count(*) FILTER (negotiated_type = 'negotiated') AS n_negotiated,
+             count(*) FILTER (billing_class = 'professional') AS n_professional,
+             min(expiration_date) AS first_date, max(expiration_date) AS last_date
+      FROM el_prices GROUP BY l_partkey, chunk) p ON p.l_partkey = s.l_partkey AND p.chunk = s.chunk
 JOIN items it ON it.p_partkey = s.l_partkey
 UNION ALL
-SELECT billing_code, name, description, NULL, NULL, NULL, covered_services FROM unsold"""
+SELECT billing_code, name, description, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, covered_services
+FROM unsold"""
 
 # Contract violations planted by sources.fixtures.dirty_tables.
 _ITEM_ROWS = """
@@ -205,7 +215,9 @@ item_rows AS (
   FROM doc_items d JOIN items it ON it.p_partkey = d.p_partkey),
 dirty_prices AS (
   SELECT it.billing_code, it.p_size, ep.expiration_date
-  FROM el_prices ep JOIN items it ON it.p_partkey = ep.l_partkey WHERE it.p_size BETWEEN 5 AND 9),
+  FROM el_prices ep JOIN items it ON it.p_partkey = ep.l_partkey WHERE it.p_size IN (5, 6, 7, 8, 9, 10, 15, 18)),
+dirty_rates AS (
+  SELECT it.billing_code, it.p_size FROM el_price_stats ps JOIN items it ON it.p_partkey = ps.l_partkey),
 violations AS (
   SELECT 'C2.negotiation_arrangement' AS rule, 'in_network' AS "table", billing_code AS key, 'fee' AS value
   FROM item_rows WHERE p_size = 1
@@ -214,6 +226,24 @@ violations AS (
   UNION ALL SELECT 'C1.negotiated_rates', 'in_network', billing_code, NULL FROM item_rows WHERE unsold
   UNION ALL SELECT 'C7.references_or_groups', 'negotiated_rates', it.billing_code, NULL
     FROM el_price_stats ps JOIN items it ON it.p_partkey = ps.l_partkey WHERE it.p_size = 4
+  UNION ALL SELECT 'C3.bundled_codes', 'in_network', billing_code, NULL FROM item_rows WHERE p_size = 11
+  UNION ALL SELECT 'C1.covered_services', 'in_network', billing_code, NULL FROM item_rows WHERE p_size = 12
+  UNION ALL SELECT 'C6.provider_references', 'negotiated_rates', billing_code, NULL FROM dirty_rates WHERE p_size = 13
+  UNION ALL SELECT 'C6.negotiated_prices', 'negotiated_rates', billing_code, NULL FROM dirty_rates WHERE p_size = 14
+  UNION ALL SELECT 'C6.npi', 'negotiated_rates', billing_code, '5,5' FROM dirty_rates WHERE p_size = 16
+  UNION ALL SELECT 'C4.tin_type', 'negotiated_rates', billing_code, NULL FROM dirty_rates WHERE p_size = 16
+  UNION ALL SELECT 'C6.provider_groups', 'negotiated_rates', billing_code, NULL FROM dirty_rates WHERE p_size = 20
+  UNION ALL SELECT 'C1.providers', 'negotiated_rates', billing_code, NULL FROM dirty_rates WHERE p_size = 21
+  UNION ALL SELECT 'C4.billing_class', 'negotiated_prices', billing_code, 'dental' FROM dirty_prices WHERE p_size = 10
+  UNION ALL SELECT 'C10.price_branch', 'negotiated_prices', billing_code, 'dental' FROM dirty_prices WHERE p_size = 10
+  UNION ALL SELECT 'C1.negotiated_type', 'negotiated_prices', billing_code, NULL FROM dirty_prices WHERE p_size = 15
+  UNION ALL SELECT 'C12.expiration_date', 'negotiated_prices', billing_code, '2024-99-99'
+    FROM dirty_prices WHERE p_size = 18
+  UNION ALL SELECT 'C4.tin_type', 'provider_references', CAST(provider_group_id AS VARCHAR), NULL
+    FROM prov WHERE s_nationkey = 4 AND s_acctbal >= 1000
+  UNION ALL SELECT 'C6.provider_groups', 'provider_references', CAST(provider_group_id AS VARCHAR), NULL
+    FROM prov WHERE s_nationkey = 5 AND s_acctbal >= 1000
+  UNION ALL SELECT 'C12.last_updated_on', 'base', 'fixture', '2024/12/01'
   UNION ALL SELECT 'C10.price_branch', 'negotiated_prices', billing_code, 'both' FROM dirty_prices WHERE p_size = 5
   UNION ALL SELECT 'C4.negotiated_type', 'negotiated_prices', billing_code, 'flat' FROM dirty_prices WHERE p_size = 6
   UNION ALL SELECT 'C5.service_code', 'negotiated_prices', billing_code, '00' FROM dirty_prices WHERE p_size = 7
@@ -252,7 +282,29 @@ _NUMBERS = """
 SELECT 'C13.provider_group_id' AS rule, 'provider_references' AS "table",
   CAST(CAST(pr.provider_group_id + 0.5 AS DECIMAL(38, 10)) AS VARCHAR) AS key,
   CAST(CAST(pr.provider_group_id + 0.5 AS DECIMAL(38, 10)) AS VARCHAR) AS value
-FROM doc_refs dr JOIN prov pr ON pr.provider_group_id = dr.ref WHERE pr.s_nationkey = 2"""
+FROM doc_refs dr JOIN prov pr ON pr.suppkey = dr.ref WHERE pr.s_nationkey = 2
+UNION ALL
+SELECT 'C13.npi', 'provider_references', CAST(CAST(pr.provider_group_id AS DECIMAL(38, 10)) AS VARCHAR),
+  CAST(CAST(1000000000 + pr.suppkey * 10 + 0.5 AS DECIMAL(38, 10)) AS VARCHAR)
+FROM doc_refs dr JOIN prov pr ON pr.suppkey = dr.ref
+WHERE pr.s_nationkey = 4 AND pr.s_acctbal >= 1000 AND pr.suppkey % 3 > 0
+UNION ALL
+SELECT 'C13.negotiated_rate', 'negotiated_prices', it.billing_code, 'x'
+FROM el_prices ep JOIN items it ON it.p_partkey = ep.l_partkey WHERE it.p_size = 21
+UNION ALL
+SELECT 'C13.provider_references', 'negotiated_rates', any_value(it.billing_code),
+  CAST(CAST(min(er.ref) + 0.5 AS DECIMAL(38, 10)) AS VARCHAR)
+FROM el_refs er JOIN items it ON it.p_partkey = er.l_partkey WHERE it.p_size = 22
+GROUP BY er.l_partkey, er.chunk, er.l_returnflag
+UNION ALL
+SELECT 'C13.npi', 'negotiated_rates', it.billing_code, '7.5000000000'
+FROM el_price_stats ps JOIN items it ON it.p_partkey = ps.l_partkey WHERE it.p_size = 23"""
+
+_CORRUPT = """
+SELECT CASE WHEN block % 2 = 0 THEN 'C13.document' ELSE 'C1.in_network' END AS rule, 'document' AS "table",
+  doc AS key, CAST(NULL AS VARCHAR) AS value
+FROM (SELECT DISTINCT doc, CAST(split_part(doc, '-', 2) AS BIGINT) AS block FROM doc_items)
+WHERE block % 2 = 0 OR block % 4 = 1"""
 
 ORACLE_SQL = {
     "flatten_rates": _with(_Q2_BODY),
@@ -303,6 +355,14 @@ WHERE er.ref NOT IN (SELECT provider_group_id FROM prov)"""),
     "preprocess_direct_flatten": _with(_Q2_BODY),
     **{name: _contract(fams) for name, fams in CONTRACT_FAMILIES.items()},
     "contract_numbers": _with(_NUMBERS),
+    "contract_corrupt_documents": _with(_CORRUPT),
+    "flatten_rates_plain_prefix": _with(_Q2_BODY),
+    "npi_rates_json_prefix": _with(_Q4_BODY),
+    "base_files_roundtrip": _with(f"""
+SELECT {_base_cols('TRUE')}, CAST(NULL AS VARCHAR) AS plan_name, CAST(NULL AS VARCHAR) AS plan_id_type,
+  CAST(NULL AS VARCHAR) AS plan_id, CAST(NULL AS VARCHAR) AS plan_market_type"""),
+    "sample_rows": _with(f"""
+SELECT least(5, count(*)) AS n_sampled, least(5, count(*)) AS n_found FROM ({_Q2_BODY})"""),
     "stream_flatten_rates": _with(_Q2_BODY),
     "default_arrays": _with("""
 SELECT it.billing_code, it.name, coalesce(s.n_rates, 0) AS n_rates,

@@ -20,9 +20,8 @@ from ..session import scratch_dir
 from ..operators import contract
 from ..schemas import RAW_DOCUMENT_DECIMAL_IDS
 from ..sources.fixtures import dirty_tables, fixture_tables, inline_group_in_network, write_fixture_documents
-from ..sources.raw_json import read_documents
-from ..sources.raw_json import extract, extract_to_tables
-from ..sources.tables import read_tables, write_tables
+from ..sources.raw_json import extract, extract_to_tables, read_documents, unreadable_documents
+from ..sources.tables import NPI_NEEDS, RATES_NEEDS, read_prefixes, read_tables, write_tables
 from . import layout, lookup
 from .report import StageCounter, sample_rows
 
@@ -192,7 +191,12 @@ def q_rates_by_code(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_rates_by_npi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return arrays_as_text(lookup.rates_by_npi(_written_npi_rates(spark, sf_dir), LOOKUP_NPI).select(*NPI_RATES_COLUMNS))
+    b, p, i = _tables(spark, sf_dir)
+    rates = fl.flatten_npi_rates(b, p, i)
+    path = scratch_dir(spark, "npi-lookup")
+    layout.write_npi_lookup(rates, path)
+    by_npi = spark.read.schema(rates.schema).parquet(path)
+    return arrays_as_text(lookup.rates_by_npi(by_npi, LOOKUP_NPI).select(*NPI_RATES_COLUMNS))
 
 
 def q_rates_by_code_and_type(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -237,18 +241,25 @@ def q_stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """L1: five rate rows, any five (rows-only check)."""
-    return sample_rows(q_flatten_rates(spark, sf_dir), 5)
+    """L1: five rate rows, any five: how many there are, and how many are rows of Q2."""
+    rates = q_flatten_rates(spark, sf_dir)
+    path = scratch_dir(spark, "sample")
+    sample_rows(rates, 5).write.parquet(path)
+    sample = spark.read.schema(rates.schema).parquet(path).withColumn("n", F.monotonically_increasing_id()).alias("s")
+    same = [F.col(f"s.{c}").eqNullSafe(F.col(f"r.{c}")) for c in rates.columns]
+    matches = rates.alias("r").join(F.broadcast(sample), same).agg(F.count_distinct("n").alias("n_found"))
+    counts = sample.agg(F.count(F.lit(1)).alias("n_sampled")).unionByName(matches, allowMissingColumns=True)
+    return counts.agg(F.sum("n_sampled").alias("n_sampled"), F.sum("n_found").alias("n_found"))
 
 
-_DOCUMENTS: dict[tuple[str, str, bool], str] = {}
+_DOCUMENTS: dict[tuple[str, str, str | None], str] = {}
 
 
-def _documents(spark: SparkSession, sf_dir: str, fractional_ids: bool = False) -> str:
+def _documents(spark: SparkSession, sf_dir: str, faults: str | None = None) -> str:
     """The fixture as raw documents, written once per application and data set."""
-    key = (spark.sparkContext.applicationId, sf_dir, fractional_ids)
+    key = (spark.sparkContext.applicationId, sf_dir, faults)
     if key not in _DOCUMENTS:
-        _DOCUMENTS[key] = write_fixture_documents(spark, sf_dir, scratch_dir(spark, "documents"), fractional_ids)
+        _DOCUMENTS[key] = write_fixture_documents(spark, sf_dir, scratch_dir(spark, "documents"), faults)
     return _DOCUMENTS[key]
 
 
@@ -276,8 +287,19 @@ def _items_out(i: DataFrame) -> DataFrame:
         return F.aggregate(F.transform(rates, lambda r: F.size(r[field]).cast("long")), F.lit(0).cast("long"),
                            lambda a, b: a + b)
 
+    prices = F.flatten(F.transform(rates, lambda r: r["negotiated_prices"]))
+
+    def added(value):
+        return F.aggregate(F.transform(prices, lambda p: value(p).cast("long")), F.lit(0).cast("long"), lambda a, b: a + b)
+
     return i.select("billing_code", "name", "description", _size(rates).alias("n_rates"),
                     total("provider_references").alias("n_refs"), total("negotiated_prices").alias("n_prices"),
+                    added(lambda p: F.round(p["negotiated_rate"] * 100)).alias("cents"),
+                    added(lambda p: F.array_join(p["service_code"], "")).alias("codes"),
+                    added(lambda p: p["negotiated_type"] == "negotiated").alias("n_negotiated"),
+                    added(lambda p: p["billing_class"] == "professional").alias("n_professional"),
+                    F.array_min(F.transform(prices, lambda p: p["expiration_date"])).alias("first_date"),
+                    F.array_max(F.transform(prices, lambda p: p["expiration_date"])).alias("last_date"),
                     code_list_text(F.col("covered_services")).alias("covered_services"))
 
 
@@ -361,11 +383,41 @@ CONTRACT_FAMILIES = {
 
 
 def q_contract_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """C13 on raw documents whose nation-2 provider ids end in .5."""
-    path = _documents(spark, sf_dir, fractional_ids=True)
+    """C13 on raw documents with fractional ids and rates that are no numbers."""
+    path = _documents(spark, sf_dir, "numbers")
     return contract.number_violations(read_documents(spark, path, RAW_DOCUMENT_DECIMAL_IDS))
 
 
+def q_contract_corrupt_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that are no JSON object (C13) and documents without ``in_network`` (C1)."""
+    path = _documents(spark, sf_dir, "documents")
+    v = contract.document_violations(read_documents(spark, path, unreadable="drop"), unreadable_documents(spark, path))
+    return v.withColumns({"key": F.regexp_extract("key", "/doc=([^/]+)/", 1), "value": F.lit(None).cast("string")})
+
+
+def _plain_prefixes(spark: SparkSession, sf_dir: str, fmt: str, needs: dict):
+    """The tables in three plain folders without a document key, read back."""
+    paths = []
+    for name, df in zip(("base", "providers", "in_network"), _tables(spark, sf_dir)):
+        paths.append(scratch_dir(spark, f"plain-{name}"))
+        df.drop(DOC_KEY).write.format(fmt).save(paths[-1])
+    return read_prefixes(spark, *paths, needs, fmt)
+
+
+def q_flatten_rates_plain_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return arrays_as_text(fl.flatten_rates(*_plain_prefixes(spark, sf_dir, "parquet", RATES_NEEDS)))
+
+
+def q_npi_rates_json_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return arrays_as_text(fl.flatten_npi_rates(*_plain_prefixes(spark, sf_dir, "json", NPI_NEEDS)))
+
+
+def q_base_files_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_dir(spark, "tables")
+    write_tables(*_tables(spark, sf_dir), root, max_records_per_file=1000)
+    return _base_out(read_tables(spark, root)[0])
+
+
 def q_default_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C14: absent arrays read as []: unsold parts keep one row with zero rates."""
     _, _, i = _tables(spark, sf_dir)
@@ -414,6 +466,10 @@ SPARK_QUERIES = {
     "preprocess_direct_flatten": q_preprocess_direct_flatten,
     **{name: _contract_query(fams) for name, fams in CONTRACT_FAMILIES.items()},
     "contract_numbers": q_contract_numbers,
+    "contract_corrupt_documents": q_contract_corrupt_documents,
+    "flatten_rates_plain_prefix": q_flatten_rates_plain_prefix,
+    "npi_rates_json_prefix": q_npi_rates_json_prefix,
+    "base_files_roundtrip": q_base_files_roundtrip,
     "default_arrays": q_default_arrays,
     "stream_flatten_rates": q_stream_flatten_rates,
 }

@@ -78,11 +78,13 @@ PROVIDERS_TABLE = with_doc_key(PROVIDER_REFERENCE)
 IN_NETWORK_TABLE = with_doc_key(IN_NETWORK)
 
 
-def raw_document(id_type=L) -> StructType:
+def raw_document(id_type=L, rate_type=D) -> StructType:
     """Schema of one raw document (one JSON object per file).
 
-    ``id_type`` lets the contract job read ids as DECIMAL(38,10): a JSON id such
-    as 2.0 read as BIGINT is silently NULL, and 2.5 must be reported, not rounded.
+    ``id_type``: the reader takes ids as text and converts them itself, because a JSON
+    id such as 2.0 read as BIGINT is silently NULL; the contract job takes them as
+    DECIMAL(38,10), since 2.5 must be reported, not rounded. ``rate_type`` STRING
+    lets the contract job see a rate that is no number.
     """
     provider_group = StructType([StructField("npi", ArrayType(id_type)), StructField("tin", TIN)])
     provider_reference = StructType([
@@ -90,8 +92,10 @@ def raw_document(id_type=L) -> StructType:
         StructField("location", S),
         StructField("provider_groups", ArrayType(provider_group)),
     ])
+    price = StructType([f if f.name != "negotiated_rate" else StructField("negotiated_rate", rate_type)
+                        for f in NEGOTIATED_PRICE.fields])
     rate = StructType([
-        StructField("negotiated_prices", ArrayType(NEGOTIATED_PRICE)),
+        StructField("negotiated_prices", ArrayType(price)),
         StructField("provider_references", ArrayType(id_type)),
         StructField("provider_groups", ArrayType(provider_group)),
     ])
@@ -103,8 +107,8 @@ def raw_document(id_type=L) -> StructType:
            StructField("in_network", ArrayType(item))])
 
 
-RAW_DOCUMENT = raw_document()
-RAW_DOCUMENT_DECIMAL_IDS = raw_document(DecimalType(38, 10))
+RAW_DOCUMENT_TEXT_IDS = raw_document(S)
+RAW_DOCUMENT_DECIMAL_IDS = raw_document(DecimalType(38, 10), S)
 
 # Output column order of the rate table (19 columns).
 RATES_COLUMNS = [

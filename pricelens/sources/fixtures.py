@@ -3,11 +3,12 @@
 The real input is one JSON document per insurer plan. The test data is a
 TPC-H-like star schema, so the three nested tables are built from it:
 
-* ``base``: one header row for the single document ``fixture``.
-* ``provider_references``: one provider group per supplier in good standing
-  (``s_acctbal >= 0``); suppliers with a negative balance are missing, so rates
-  that refer to them have an unknown reference. Suppliers with a balance of
-  9,000 or more also publish a facility group that no rate refers to.
+* ``base``: one header row for the single document ``fixture``; the entity is named after
+  the first and last region.
+* ``provider_references``: one provider group per supplier. Suppliers with a negative
+  balance publish it under a shifted id, so rates that refer to them have an unknown
+  reference and the group is unused. Suppliers with a balance of 9,000 or more also
+  publish a facility group that no rate refers to.
   Suppliers with a balance under 1,000 publish a location only (no inline
   groups); the others one group with 0 to 2 NPIs and a tin.
 * ``in_network``: one item per part; one ``negotiated_rates`` element per
@@ -30,9 +31,10 @@ from ..schemas import BASE_FIELDS, BASE_TABLE, DOC_KEY, IN_NETWORK_TABLE, PLAN_F
 
 # Fixed values of the fixture (not derived from data).
 FIXTURE_DOC = "fixture"
-BASE_ROW = ("E", "insurer", "2024-12-01", "1.0.0")
+UPDATED_ON, VERSION = "2024-12-01", "1.0.0"
 LOCATION_PREFIX = "https://providers.example.org/"
 FACILITY_OFFSET = 1 << 40          # provider_group_id of a supplier's facility group
+SHIFTED_OFFSET = 1 << 41           # added to the group id of a supplier with a negative balance
 NPI_BASE = 1_000_000_000           # npi = NPI_BASE + suppkey * 10 + i
 ORDER_SPAN = 1 << 20
 PARTS_PER_DOCUMENT = 500
@@ -43,12 +45,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def fixture_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # One header for the whole document; the region scan only anchors it to the data set.
-    region = read_table(spark, sf_dir, "region").select("r_regionkey")
-    row = region.groupBy().agg(F.count(F.lit(1)).alias("n"))
-    cols = [F.lit(FIXTURE_DOC).alias(DOC_KEY)] + [F.lit(v).alias(f.name) for v, f in zip(BASE_ROW, BASE_TABLE.fields[1:])]
-    cols += [F.lit(None).cast("string").alias(f.name) for f in BASE_TABLE.fields[1 + len(BASE_ROW):]]
-    return row.select(*cols)
+    row = read_table(spark, sf_dir, "region").agg(F.min("r_name").alias("first"), F.max("r_name").alias("last"))
+    header = [F.col("first"), F.col("last"), F.lit(UPDATED_ON), F.lit(VERSION)]
+    return row.select(F.lit(FIXTURE_DOC).alias(DOC_KEY), *[v.alias(n) for v, n in zip(header, BASE_FIELDS)],
+                      *[F.lit(None).cast("string").alias(n) for n in PLAN_FIELDS])
 
 
 def _supplier_groups(key: Column, bal: Column) -> Column:
@@ -59,21 +59,23 @@ def _supplier_groups(key: Column, bal: Column) -> Column:
     return F.when(bal < 1000, F.lit(None)).otherwise(F.array(F.struct(npis.alias("npi"), tin.alias("tin"))))
 
 
-def fixture_providers(spark: SparkSession, sf_dir: str, keep_nation: bool = False) -> DataFrame:
-    s = read_table(spark, sf_dir, "supplier").where(F.col("s_acctbal") >= 0)
+def fixture_providers(spark: SparkSession, sf_dir: str, keep_keys: bool = False) -> DataFrame:
+    """``keep_keys`` also returns ``s_suppkey`` and ``s_nationkey``."""
+    s = read_table(spark, sf_dir, "supplier")
     key, bal = F.col("s_suppkey"), F.col("s_acctbal")
     kinds = F.when(bal >= 9000, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     s = s.select(key, bal, "s_nationkey", F.explode(kinds).alias("kind"))
     facility = F.col("kind") == 1
     return s.select(
         F.lit(FIXTURE_DOC).alias(DOC_KEY),
-        F.when(facility, key + F.lit(FACILITY_OFFSET)).otherwise(key).alias("provider_group_id"),
+        F.when(facility, key + F.lit(FACILITY_OFFSET)).when(bal < 0, key + F.lit(SHIFTED_OFFSET)).otherwise(key)
+         .alias("provider_group_id"),
         F.concat(F.lit(LOCATION_PREFIX), F.when(facility, F.lit("facility/")).otherwise(F.lit("")),
                  key.cast("string")).alias("location"),
         _supplier_groups(key, bal).alias("provider_groups"),
-        "s_nationkey",
+        "s_suppkey", "s_nationkey",
     ).select(*[F.col(f.name).cast(f.dataType) for f in PROVIDERS_TABLE.fields],
-             *(["s_nationkey"] if keep_nation else []))
+             *(["s_suppkey", "s_nationkey"] if keep_keys else []))
 
 
 def price_struct() -> Column:
@@ -158,33 +160,58 @@ def document_key(partkey: Column, chunk: Column) -> Column:
     return F.concat(F.lit("doc-"), block, F.lit("-"), F.coalesce(chunk, F.lit(0)).cast("string"))
 
 
-def write_fixture_documents(spark: SparkSession, sf_dir: str, path: str, fractional_ids: bool = False) -> str:
+def _with_bad_numbers(json: Column, places: list[tuple[Column, str, str]]) -> Column:
+    for where, pattern, replacement in places:
+        json = F.when(where, F.regexp_replace(json, pattern, replacement)).otherwise(json)
+    return json
+
+
+def write_fixture_documents(spark: SparkSession, sf_dir: str, path: str, faults: str | None = None) -> str:
     """The fixture as raw rate documents: gzip JSON files ``path/doc=<key>/*.txt.gz``,
-    one JSON object per file with the header, the provider groups its rates refer
+    one JSON object per file with the header, all groups of the suppliers its rates refer
     to, and its items. Each document is assembled from its own rows only.
 
-    ``fractional_ids``: groups of suppliers in nation 2 get a provider_group_id
-    ending in ``.5``, a contract violation (C13) only raw JSON can carry."""
+    ``faults`` plants violations only raw JSON can carry. ``"numbers"`` (C13): group ids of
+    nation 2 and first npis of nation 4 end in ``.5``; of items by part size, 22 has the
+    first reference of each rate ending in ``.5``, 23 an inline group with npi 7.5 instead
+    of references, 21 rates of ``"x"``. ``"documents"``: documents of an even block of parts
+    are cut short (C13), those of blocks 1, 5, 9, ... have no ``in_network`` (C1)."""
     base = fixture_base(spark, sf_dir)
-    providers = fixture_providers(spark, sf_dir, keep_nation=True)
+    providers = fixture_providers(spark, sf_dir, keep_keys=True)
     items = fixture_in_network(spark, sf_dir, keep_keys=True)
     items = items.withColumn("doc", document_key(F.col("p_partkey"), F.col("chunk")))
     item_fields = [f.name for f in IN_NETWORK_TABLE.fields if f.name != DOC_KEY]
+    item_json = F.to_json(F.struct(*item_fields))
+    if faults == "numbers":
+        size = F.col("p_size")
+        item_json = _with_bad_numbers(item_json, [
+            (size == 21, r'"negotiated_rate":[^,}]+', '"negotiated_rate":"x"'),
+            (size == 22, r'"provider_references":\[([0-9]+)', '"provider_references":[$1.5'),
+            (size == 23, r'"provider_references":\[[^\]]*\]',
+             '"provider_groups":[{"npi":[7.5],"tin":{"type":"ein","value":"1"}}]')])
     item_text = items.groupBy("doc", DOC_KEY).agg(
-        F.array_join(F.sort_array(F.collect_list(F.to_json(F.struct(*item_fields)))), ",").alias("items"))
+        F.array_join(F.sort_array(F.collect_list(item_json)), ",").alias("items"))
     refs = items.select("doc", DOC_KEY, F.explode(flatten_present(F.col("negotiated_rates.provider_references"))).alias("ref"))
     refs = refs.distinct()
-    prov = refs.join(providers, [refs[DOC_KEY] == providers[DOC_KEY], refs.ref == providers.provider_group_id])
+    prov = refs.join(providers, [refs[DOC_KEY] == providers[DOC_KEY], refs.ref == providers.s_suppkey])
     prov_json = F.to_json(F.struct("provider_group_id", "location", "provider_groups"))
-    if fractional_ids:
-        prov_json = F.when(F.col("s_nationkey") == 2, F.regexp_replace(
-            prov_json, r'^\{"provider_group_id":([0-9]+)', '{"provider_group_id":$1.5')).otherwise(prov_json)
+    if faults == "numbers":
+        nation = F.col("s_nationkey")
+        prov_json = _with_bad_numbers(prov_json, [
+            (nation == 2, r'^\{"provider_group_id":([0-9]+)', '{"provider_group_id":$1.5'),
+            (nation == 4, r'"npi":\[([0-9]+)', '"npi":[$1.5')])
     prov_text = prov.groupBy("doc").agg(F.array_join(F.sort_array(F.collect_list(prov_json)), ",").alias("providers"))
     header = base.select(DOC_KEY, F.regexp_replace(F.to_json(F.struct(*BASE_FIELDS, *PLAN_FIELDS)),
                                                    r"^\{|\}$", "").alias("header"))
     docs = item_text.join(bounded_broadcast(header), DOC_KEY).join(prov_text, "doc", "left")
     text = F.concat(F.lit("{"), F.col("header"), F.lit(',"provider_references":['),
                     F.coalesce(F.col("providers"), F.lit("")), F.lit('],"in_network":['), F.col("items"), F.lit("]}"))
+    if faults == "documents":
+        block = F.regexp_extract("doc", r"^doc-([0-9]+)-", 1).cast("long")
+        cut = F.col("text").substr(F.lit(1), F.length("text") - 2)
+        no_items = F.regexp_replace("text", r'(?s),"in_network":\[.*$', "}")
+        docs = docs.withColumn("text", text)
+        text = F.when(block % 2 == 0, cut).when(block % 4 == 1, no_items).otherwise(F.col("text"))
     (docs.select("doc", text.alias("value")).write.mode("overwrite").partitionBy("doc")
      .option("compression", "gzip").text(path))
     return path
@@ -196,10 +223,16 @@ def dirty_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     items by part size: 1 arrangement ``fee`` (C2), 2 code type ``CPT4`` (C3),
     3 no description (C1), 4 rates with both references and groups (C7),
     5 prices billed ``both`` (C10), 6 type ``flat`` (C4), 7 service code ``00``
-    (C5), 8 dates with ``/`` (C12), 9 modifier ``25`` twice (C6);
+    (C5), 8 dates with ``/`` (C12), 9 modifier ``25`` twice (C6), 10 prices billed
+    ``dental`` (C4, C10), 11 bundled code type ``CPT4`` (C3), 12 covered service without
+    description (C1), 13 every reference twice (C6), 14 every price twice (C6), 15 prices
+    without type (C1), 16 inline groups with npi 5 twice and tin type ``zzz`` (C6, C4),
+    18 dates ``2024-99-99`` (C12), 20 one inline group twice (C6), 21 inline groups
+    without tin (C1);
     providers by supplier nation: 0 ``http://`` location (C9), 1 no location
-    (C8 where no groups), 3 every npi twice (C6); the header has 2 of the 4
-    plan members (C11) and market type ``small`` (C4).
+    (C8 where no groups), 3 every npi twice (C6), 4 tin type ``ssn`` (C4), 5 every group
+    twice (C6); the header has 2 of the 4 plan members (C11), market type ``small`` (C4)
+    and a date with ``/`` (C12).
     """
     size = F.col("p_size")
     i = fixture_in_network(spark, sf_dir, keep_keys=True)
@@ -209,6 +242,16 @@ def dirty_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
         return F.transform("negotiated_rates", lambda r: r.withField(
             "negotiated_prices", F.transform(r["negotiated_prices"], lambda p: p.withField(field, value(p)))))
 
+    def rates_with(field, value):
+        return F.transform("negotiated_rates", lambda r: r.withField(field, value(r)))
+
+    def inline(npis, tin, times=1):
+        tin = F.struct(*[F.lit(v).cast("string").alias(n) for v, n in zip(tin, ("type", "value"))]) if tin else F.lit(None)
+        group = F.struct(F.array(*[F.lit(n) for n in npis]).alias("npi"), tin.alias("tin"))
+        groups = F.array(*[group] * times).cast(groups_t)
+        return F.transform("negotiated_rates", lambda r: r.withField("provider_groups", groups).withField(
+            "provider_references", F.lit(None).cast("array<bigint>")))
+
     rates = (F.when(size == 4, F.transform("negotiated_rates",
                                             lambda r: r.withField("provider_groups", F.array().cast(groups_t))))
              .when(size == 5, prices_with("billing_class", lambda p: F.lit("both")))
@@ -216,8 +259,25 @@ def dirty_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
              .when(size == 7, prices_with("service_code", lambda p: F.array(F.lit("00"))))
              .when(size == 8, prices_with("expiration_date", lambda p: F.regexp_replace(p["expiration_date"], "-", "/")))
              .when(size == 9, prices_with("billing_code_modifier", lambda p: F.array(F.lit("25"), F.lit("25"))))
+             .when(size == 10, prices_with("billing_class", lambda p: F.lit("dental")))
+             .when(size == 13, rates_with("provider_references", lambda r: F.concat(
+                 r["provider_references"], r["provider_references"])))
+             .when(size == 14, rates_with("negotiated_prices", lambda r: F.concat(
+                 r["negotiated_prices"], r["negotiated_prices"])))
+             .when(size == 15, prices_with("negotiated_type", lambda p: F.lit(None).cast("string")))
+             .when(size == 16, inline([5, 5], ("zzz", "1")))
+             .when(size == 18, prices_with("expiration_date", lambda p: F.lit("2024-99-99")))
+             .when(size == 20, inline([5], ("ein", "1"), times=2))
+             .when(size == 21, inline([5], None))
              .otherwise(F.col("negotiated_rates")))
+    codes_t = IN_NETWORK_TABLE["covered_services"].dataType
+
+    def code(kind, description):
+        return F.array(F.struct(F.lit(kind), F.lit("2024"), F.lit("1"), F.lit(description))).cast(codes_t)
+
     i = i.withColumns({
+        "bundled_codes": F.when(size == 11, code("CPT4", "d")).otherwise(F.col("bundled_codes")),
+        "covered_services": F.when(size == 12, code("CPT", None)).otherwise(F.col("covered_services")),
         "negotiation_arrangement": F.when(size == 1, F.lit("fee")).otherwise(F.col("negotiation_arrangement")),
         "billing_code_type": F.when(size == 2, F.lit("CPT4")).otherwise(F.col("billing_code_type")),
         "description": F.when(size == 3, F.lit(None)).otherwise(F.col("description")),
@@ -225,15 +285,18 @@ def dirty_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     }).select(*[f.name for f in IN_NETWORK_TABLE.fields])
 
     nation = F.col("s_nationkey")
-    p = fixture_providers(spark, sf_dir, keep_nation=True)
+    p = fixture_providers(spark, sf_dir, keep_keys=True)
     p = p.withColumns({
         "location": F.when(nation == 0, F.regexp_replace("location", "^https://", "http://"))
                      .when(nation == 1, F.lit(None)).otherwise(F.col("location")),
         "provider_groups": F.when(nation == 3, F.transform(
-            "provider_groups", lambda g: g.withField("npi", F.concat(g["npi"], g["npi"])))).otherwise(F.col("provider_groups")),
+            "provider_groups", lambda g: g.withField("npi", F.concat(g["npi"], g["npi"]))))
+            .when(nation == 4, F.transform("provider_groups", lambda g: g.withField("tin.type", F.lit("ssn"))))
+            .when(nation == 5, F.concat("provider_groups", "provider_groups")).otherwise(F.col("provider_groups")),
     }).select(*[f.name for f in PROVIDERS_TABLE.fields])
 
-    b = fixture_base(spark, sf_dir).withColumns({"plan_name": F.lit("P"), "plan_market_type": F.lit("small")})
+    b = fixture_base(spark, sf_dir).withColumns({"plan_name": F.lit("P"), "plan_market_type": F.lit("small"),
+                                                    "last_updated_on": F.regexp_replace("last_updated_on", "-", "/")})
     return b, p, i
 
 

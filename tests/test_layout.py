@@ -1,6 +1,7 @@
 import glob
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from pricelens.operators.flatten import flatten_rates
@@ -86,10 +87,58 @@ def test_stream_reader_nulls_mistyped_values_like_spark(spark, tmp_dir):
     assert got["stream"][0] == [(False, 7), (True, None), (True, None)]
     assert got["stream"][1] == [("5", [[7, None]], [3.0])]
     assert got["multiline"][0] == got["stream"][0]
-    # Spark's reader drops the whole array holding a mistyped element; ours drops the element.
-    assert got["multiline"][1] == [("5", [None], [3.0])]
+    assert got["multiline"][1] == got["stream"][1]
     with open(f"{tmp_dir}/d.json", "w") as f:
         f.write('{"provider_references":[{"provider_group_id":2.5},{"provider_group_id":3.0},'
                 '{"provider_group_id":7},{"provider_group_id":1180591620717411303424}],"in_network":[]}')
-    _, p, _ = extract(spark, tmp_dir, "stream")
-    assert sorted(str(r.provider_group_id) for r in p.collect()) == ["3", "7", "None", "None"]
+    for method in ("multiline", "stream", "direct"):
+        _, p, _ = extract(spark, tmp_dir, method)
+        assert sorted(str(r.provider_group_id) for r in p.collect()) == ["3", "7", "None", "None"], method
+
+
+def test_truncated_document_fails_or_is_listed(spark, tmp_dir):
+    from pricelens.sources.raw_json import extract, read_documents, unreadable_documents
+    for name, text in (("cut", '{"version":"1","provider_references":[{"provider_group_id":1}],"in_network":[{"na'),
+                       ("mistyped", '{"version":"1","in_network":[{"negotiated_rates":7}]}')):
+        with open(f"{tmp_dir}/{name}.json", "w") as f:
+            f.write(text)
+    assert [os.path.basename(r[0]) for r in unreadable_documents(spark, tmp_dir).collect()] == ["cut.json"]
+    assert read_documents(spark, tmp_dir, unreadable="drop").count() == 1
+    for method in ("multiline", "stream", "direct"):
+        with pytest.raises(Exception):
+            extract(spark, tmp_dir, method)[2].collect()
+
+
+def test_plain_prefixes_without_a_document_key(spark, tmp_dir):
+    from pricelens.schemas import DOC_KEY
+    from pricelens.sources.tables import read_prefixes
+    tables = (base_rows(spark), providers(spark, [("d1", 1, "https://a/1", [([9], ("ein", "1"))])]),
+              in_network(spark, [item("1", [rate([price(1.0)], [1, 2])])]))
+    for fmt in ("parquet", "json"):
+        paths = [f"{tmp_dir}/{fmt}-{n}" for n in range(3)]
+        for df, path in zip(tables, paths):
+            df.drop(DOC_KEY).write.format(fmt).save(path)
+        rows = flatten_rates(*read_prefixes(spark, *paths, fmt=fmt)).collect()
+        assert sorted((r.provider_group_id is None, r.version) for r in rows) == [(False, "1.0.0"), (True, None)]
+
+
+def test_npi_lookup_skips_other_npis(spark, tmp_dir):
+    rows = spark.range(20_000).selectExpr("id % 100 AS npi", "cast(id % 7 AS string) AS billing_code")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        layout.write_npi_lookup(rows, tmp_dir)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    df = lookup.rates_by_npi(spark.read.parquet(tmp_dir), 42)
+    assert df.count() == 200
+    assert "EqualTo(npi,42)" in df._jdf.queryExecution().executedPlan().toString()
+    assert df.select(F.input_file_name()).distinct().count() < len(glob.glob(f"{tmp_dir}/*.parquet"))
+
+
+def test_stream_restart_takes_files_landed_in_between(spark, tmp_dir):
+    from pricelens.streaming.incremental import stream_rates
+    b, p = base_rows(spark), providers(spark, [("d1", 1, "https://a/1", None)])
+    for code in ("1", "2"):
+        in_network(spark, [item(code, [rate([price(1.0)], [1])])]).write.mode("append").parquet(f"{tmp_dir}/items")
+        stream_rates(spark, f"{tmp_dir}/items", b, p, f"{tmp_dir}/out", f"{tmp_dir}/ckpt").awaitTermination()
+    assert sorted(str(r.billing_code) for r in spark.read.parquet(f"{tmp_dir}/out").collect()) == ["1", "2"]
