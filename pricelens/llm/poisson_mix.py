@@ -15,7 +15,7 @@ hash, so no source or document group can make a hot partition.
 
 Defined cases: a null source is a source of its own; a null doc_id or text hashes as the
 empty string; repeated rows get equal counts, each replicated by itself; empty texts weigh
-one character, so every document counts. Rates of 0 give no copies. Extra columns are
+one character, so every document counts. Rates of 0 give no copies; if no source has a weight there is no output. Extra columns are
 carried along; ``copy`` and ``mix_key`` are added.
 """
 
@@ -53,7 +53,7 @@ def source_rates(docs: DataFrame, temperature: float = 0.5, weights: dict[str, f
             weight = F.when(F.col("source").eqNullSafe(F.lit(name)), F.lit(float(w))).otherwise(weight)
     stats = stats.withColumn("weight", weight)
     total = stats.agg(F.sum("weight").alias("weight"), F.sum("n_chars").alias("n_chars")).first()  # one row
-    share = F.col("weight") / F.lit(float(total["weight"] or 0.0))
+    share = F.try_divide("weight", F.lit(float(total["weight"] or 0.0)))  # null if no source has a weight
     rate = F.round(F.lit(float(mean_rate)) * share * F.lit(total["n_chars"] or 0) / F.col("n_chars"), 6)
     return stats.select("source", "n_docs", share.alias("weight"), F.coalesce(rate, F.lit(0.0)).alias("rate"))
 

@@ -51,6 +51,7 @@ def test_degenerate_documents(spark):
         assert simhash_tiles.keep_one_of_each(d).columns == d.columns
         assert repeat_spans.remove_repeats(d).count() == n
         assert set(d.columns) <= set(poisson_mix.mix(d).columns)
+        assert poisson_mix.mix(d, weights={"absent": 1.0}).count() == 0
         labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
         assert compress_quality.score(d, compress_quality.fit(d, labels)).count() == n
         assert toxicity.score(d, toxicity.fit(d, labels)).count() == n
