@@ -3,7 +3,7 @@
 1. Each page is parsed once. Every element subtree outside the article's prose gets a hash
    of its tags, classes and text.
 2. Per host, Spark counts the pages each hash occurs on. A subtree on at least
-   ``min_pages`` pages and ``min_share`` of its host's pages belongs to the template.
+   ``min_pages`` pages belongs to the template, however many pages the host has.
 3. Template subtrees are deleted. What remains is the article: elements whose tag, role or
    class says menu, header, footer, sidebar, notice, advert, form or reader comment are
    deleted as well, also on hosts with too few pages to count.
@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from pricelens.llm.common import map_batches, written
 
-MIN_PAGES, MIN_SHARE = 5, 0.2
+MIN_PAGES = 5
 
 # Element names of the HTML standard and usual names of page parts.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -282,16 +282,13 @@ def _sound(text: str) -> str:
     return text.encode("utf-8", "replace").decode("utf-8")
 
 
-def templates(parsed: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """(host, mark, n_pages): the subtrees that recur across many pages of a host."""
-    counts = parsed.select("host", F.explode("marks").alias("mark")).groupBy("host", "mark").agg(
-        F.count(F.lit(1)).alias("n_pages"))
-    sizes = parsed.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages"))
-    return counts.filter(F.col("n_pages") >= min_pages).join(sizes, "host").filter(
-        F.col("n_pages") >= F.lit(min_share) * F.col("host_pages")).select("host", "mark", "n_pages")
+def templates(parsed: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
+    """(host, mark, n_pages): the subtrees that recur on ``min_pages`` pages of a host."""
+    return parsed.select("host", F.explode("marks").alias("mark")).groupBy("host", "mark").agg(
+        F.count(F.lit(1)).alias("n_pages")).filter(F.col("n_pages") >= min_pages)
 
 
-def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+def extract(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     """page_id, url, text and n_chars, one row per page.
 
     Only pages with a block inside a countable subtree need the templates; all others are
@@ -307,7 +304,7 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN
     open_pages = parsed.filter(exposed)
     marked = open_pages.select("row_id", "host", F.explode(F.array_distinct(F.flatten(F.transform(
         "blocks", lambda b: b["d"])))).alias("mark"))
-    found = marked.join(templates(parsed, min_pages, min_share), ["host", "mark"]).groupBy("row_id").agg(
+    found = marked.join(templates(parsed, min_pages), ["host", "mark"]).groupBy("row_id").agg(
         F.collect_set("mark").alias("found"))
     kept = F.filter("blocks", lambda b: F.col("found").isNull() | ~F.arrays_overlap(b["d"], F.col("found")))
     return finished(parsed.filter(~exposed), F.col("blocks")).unionByName(
