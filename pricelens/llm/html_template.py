@@ -6,7 +6,8 @@
    ``min_pages`` pages belongs to the template, however many pages the host has.
 3. Template subtrees are deleted. What remains is the article: elements whose tag, role or
    class says menu, header, footer, sidebar, notice, advert, form or reader comment are
-   deleted as well, also on hosts with too few pages to count.
+   deleted as well, also on hosts with too few pages to count. Only whole names in a class or
+   id say so, and never those of ``article``, ``main`` or what holds the page's main prose.
 
 The article is the outermost ``article`` elements, else ``main``, else what the templates
 leave of the page. Paragraphs and headings inside it (on pages without such elements: inside
@@ -37,6 +38,7 @@ from pyspark.sql import functions as F
 from pricelens.llm.common import map_batches, written
 
 MIN_PAGES = 5
+FAR_MORE = 4
 
 # Element names of the HTML standard and usual names of page parts.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -55,6 +57,7 @@ DROP_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies "
     "disqus footer masthead menu modal nav navbar navigation newsletter notice notices popup promo promotion related "
     "respond share sharing sidebar social sponsor sponsored subscribe toolbar".split())
+UNNAMED = frozenset("article body html main".split())  # never dropped by class or id
 CLOSES = {  # an opening tag ends these open elements, up to the nearest listed boundary
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
     "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
@@ -66,27 +69,27 @@ TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>|</([a-zA-Z][^\s/>]*+)[^>]*+>"
     r"|<([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>", re.S)
 ATTR = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
-WORD = re.compile(r"[a-z0-9]+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "kids", "drop", "words", "digest", "prose", "own_p")
+    __slots__ = ("tag", "parent", "kids", "drop", "words", "digest", "named", "own_p", "size")
 
     def __init__(self, tag: str, parent: Node | None, attrs: str):
         self.tag, self.parent, self.kids, self.words = tag, parent, [], ""
-        self.digest = self.own_p = 0
-        self.prose = False
+        self.digest = self.own_p = self.size = 0
+        self.named = False  # a page part by its class or id alone
         self.drop = tag in DROP_TAGS
         if attrs and not attrs.isspace():
             a = {}
             for m in ATTR.finditer(attrs):
                 a.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
             self.words = f"{a.get('id', '')} {a.get('class', '')}".strip().lower()
-            names = set(WORD.findall(self.words))
             style = a.get("style", "").replace(" ", "").lower()
             self.drop = (
                 self.drop or "hidden" in a or a.get("aria-hidden", "").lower() == "true" or "display:none" in style
-                or a.get("role", "").lower() in DROP_ROLES or (tag not in ("body", "html") and not names.isdisjoint(DROP_WORDS)))
+                or a.get("role", "").lower() in DROP_ROLES)
+            if not self.drop and tag not in UNNAMED and not DROP_WORDS.isdisjoint(self.words.split()):
+                self.drop = self.named = True
 
 
 def parse(html: str) -> Node:
@@ -160,21 +163,43 @@ def _hash_subtrees(order: list[Node]) -> None:
         for k in n.kids:
             if type(k) is Node:
                 own.append(str(k.digest))
+                n.size += 0 if k.drop and not k.named else k.size
                 if k.tag == "p":
                     n.own_p += k.own_p + sum(len(x) for x in k.kids if type(x) is str)
             elif not k.isspace():
-                own.append(" ".join(k.split()))
+                own.append(line := " ".join(k.split()))
+                n.size += len(line)
         n.digest = xxhash.xxh3_64_intdigest("\x00".join(own).encode("utf-8", "replace")) - (1 << 63)
 
 
-def _in_dropped(n: Node | None) -> bool:
+def _in_dropped(n: Node | None, named: bool = True) -> bool:
     while n is not None:
-        if n.drop:
+        if n.drop and (named or not n.named):
             return True
         n = n.parent
     return False
 
 
+def _spare_main_prose(order: list[Node]) -> None:
+    """No class or id drops what holds the main prose.
+
+    The main prose is the longest ``article`` or ``main`` if all of them are inside elements
+    dropped by name. Else it is the element with most paragraph text of its own; one inside such
+    an element only counts with ``FAR_MORE`` times as much as any outside, as comments may be long.
+    """
+    alive = [n for n in order if not _in_dropped(n, named=False)]
+    marked = [n for n in alive if n.tag in ("article", "main")]
+    if marked and all(_in_dropped(n) for n in marked):
+        prose = max(marked, key=lambda n: n.size)
+    else:
+        dense = [n for n in alive if n.own_p and n.tag != "p"]
+        prose = max(dense, key=lambda n: n.own_p if _in_dropped(n) else FAR_MORE * n.own_p, default=None)
+    while prose is not None:
+        if prose.named:
+            prose.drop = prose.named = False
+        prose = prose.parent
+
+
 def _zones(order: list[Node]) -> tuple[list[Node], list[Node]]:
     """(elements that hold the article's text, elements whose prose no template may delete)."""
     for tag in ("article", "main"):
@@ -201,6 +226,7 @@ def pieces(html: str | None) -> tuple[list[tuple[str, list[int]]], list[int]]:
     root = parse(html)
     order = _post_order(root)
     _hash_subtrees(order)
+    _spare_main_prose(order)
     zones, guarded = _zones(order)
     guard_ids = {id(z) for z in guarded}
     holds = {id(p) for z in guarded for p in _above(z)} | guard_ids

@@ -12,3 +12,17 @@ def texts(spark, htmls):
 def test_recurrence_is_independent_of_host_size(spark):
     htmls = [f"{'<div>Winter sale</div>' if i < 8 else ''}<div><p>Body {i}</p></div>" for i in range(100)]
     assert {i: r.text for i, r in texts(spark, htmls).items()} == {i: f"Body {i}" for i in range(100)}
+
+
+def plain(html):
+    return [t for t, _ in html_template.pieces(html)[0]]
+
+
+def test_class_names_never_drop_the_main_prose():
+    for name in ("content has-sidebar", "no-banner", "comments-open", "layout-menu-left", "sidebar", "menu content"):
+        for body in ("<article><h2 class='banner-title'>Head</h2><p>Long text</p></article>",
+                     "<div class='comment'><h2>Head</h2><p>Long text</p></div>"):
+            assert plain(f"<body><div class='ad'>buy</div><div class='{name}'>{body}</div></body>") == ["Head", "Long text"], name
+    assert plain("<article class='related'><p>Long text</p><div class='comments'><p>nice</p></div></article>") == ["Long text"]
+    teaser = "<div class='related'><article><p>Teaser</p></article></div>"
+    assert plain(f"<main><div><p>Much longer than the teaser</p></div>{teaser}</main>") == ["Much longer than the teaser"]
