@@ -1,23 +1,26 @@
 """Main text of web pages by removing site templates.
 
-1. Each page is parsed once. Every element subtree outside the article's prose gets a hash
-   of its tags, classes and text.
-2. Per host, Spark counts the pages each hash occurs on. A subtree on at least
+1. Each page is parsed. Every element subtree outside the article's prose gets a hash of its
+   tags, classes and text, in the article and anywhere else on the page.
+2. Per host, Spark counts the distinct pages each hash occurs on. A subtree on at least
    ``min_pages`` pages belongs to the template, however many pages the host has.
-3. Template subtrees are deleted. What remains is the article: elements whose tag, role or
-   class says menu, header, footer, sidebar, notice, advert, form or reader comment are
-   deleted as well, also on hosts with too few pages to count. Only whole names in a class or
-   id say so, and never those of ``article``, ``main`` or what holds the page's main prose.
-
-The article is the outermost ``article`` elements, else ``main``, else what the templates
-leave of the page. Paragraphs and headings inside it (on pages without such elements: inside
-the element with most paragraph text of its own) are never deleted as template, as copies
-and quoted passages recur on many pages, too.
-
-Scale: the parse writes each page's text pieces and hashes to the shared checkpoint folder;
-only (host, hash) counts, pre-aggregated, and the blocks of pages that a template may
-touch are shuffled, never the markup. A host with a third of all pages is a pre-aggregated key like any other, and the
-joins back are equi-joins that adaptive execution splits.
+3. Template subtrees are deleted, on every page.
+4. Tag rules refine the rest: elements whose tag, role or class says menu, header, footer,
+   sidebar, notice, advert, form or reader comment are deleted as well, which is all that can
+   be done on hosts with too few pages to count. Only whole names in a class or id say so, and
+   never those of ``article``, ``main`` or what holds the page's main prose. Text outside the
+   article goes if the article holds at least half of what is left.
+
+The article is the outermost ``article`` elements, else ``main``, else the page. Paragraphs
+and headings inside it (on pages without such elements: inside the element with most
+paragraph text of its own) are never deleted as template, as copies and quoted passages recur
+on many pages, too. Pages of a host that show the same text in the same subtrees count once.
+
+Scale: pages are parsed twice. The first pass writes each distinct page's hashes to the shared
+checkpoint folder; (page, hash) rows meet the counts, pre-aggregated, in an equi-join. The
+second pass shuffles every page's compressed blocks, never the markup, to meet what was found.
+A host with a third of all pages is a pre-aggregated key like any other, and the joins are
+equi-joins that adaptive execution splits.
 
 Defined cases: a null or empty html gives an empty text; a null url or one without host
 counts for the host ''; repeated rows each get their row; malformed markup never fails:
@@ -27,11 +30,13 @@ text. Extra columns are ignored.
 
 from __future__ import annotations
 
+import json
 import re
 from html import unescape
 
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,6 +57,7 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 DROP_TAGS = frozenset(
     "aside button canvas datalist dialog embed footer form head iframe input link menu meta nav noscript object script "
     "select style svg template textarea title".split())
+UNSEEN = frozenset("canvas datalist embed head iframe noembed noframes noscript object script style svg template title".split())
 DROP_ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search".split())
 DROP_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies "
@@ -219,8 +225,21 @@ def _above(n: Node):
         n = n.parent
 
 
-def pieces(html: str | None) -> tuple[list[tuple[str, list[int]]], list[int]]:
-    """(article blocks with the hashes of the subtrees that may delete them, hashes of all countable subtrees)."""
+# What decides over a block that no template deletes.
+KEPT, BY_TAG, OUTSIDE = 0, 1, 2
+
+
+def _sound(text: str) -> str:
+    """References to surrogates or beyond Unicode are replaced; all else stays."""
+    return text.encode("utf-8", "replace").decode("utf-8")
+
+
+def page_blocks(html: str | None) -> tuple[list[tuple[str, list[int], int]], list[int]]:
+    """(all blocks of text a page shows, hashes of all countable subtrees).
+
+    A block is (text, positions of the hashes of the subtrees that may delete it, rule): ``BY_TAG``
+    if its tag, role or class is that of a page part, ``OUTSIDE`` if it lies outside the article.
+    """
     if not html:
         return [], []
     root = parse(html)
@@ -230,14 +249,15 @@ def pieces(html: str | None) -> tuple[list[tuple[str, list[int]]], list[int]]:
     zones, guarded = _zones(order)
     guard_ids = {id(z) for z in guarded}
     holds = {id(p) for z in guarded for p in _above(z)} | guard_ids
-    blocks: list[tuple[str, list[int]]] = []
-    marks: dict[int, None] = {}
-    text: list[str] = []
+    blocks: list[tuple[str, list[int], int]] = []
+    marks: dict[int, int] = {}
+    text: dict[int, list[str]] = {}
     chain: list[int] = []
 
     def flush():
-        if line := " ".join("".join(text).split()):
-            blocks.append((line, list(chain)))
+        for rule in sorted(text):
+            if line := _sound(" ".join("".join(text[rule]).split())):
+                blocks.append((line, list(chain), rule))
         text.clear()
 
     # Frames: (node, inside the article, emits text, inside the article's own header, next kid, prose is guarded)
@@ -257,22 +277,24 @@ def pieces(html: str | None) -> tuple[list[tuple[str, list[int]]], list[int]]:
         frame[4] += 1
         k = n.kids[at]
         if type(k) is str:
-            if emits and inside and (not header or any(f[0].tag in HEADINGS for f in stack)):
-                text.append(k)
+            shown = emits and (not header or any(f[0].tag in HEADINGS for f in stack))
+            text.setdefault(BY_TAG if not shown else KEPT if inside else OUTSIDE, []).append(k)
             continue
         if k.tag == "br":
-            text.append(" ")
+            for line in text.values():
+                line.append(" ")
             continue
         if k.tag in BLOCK:
             flush()
+        if k.tag in UNSEEN:
+            continue
         in_zone = inside or id(k) in zone_ids
         countable = k.tag not in ("html", "head", "body") and id(k) not in holds and (k.tag in BLOCK or k.drop or k.words)
         if countable and guard and not k.drop:
             countable = k.tag not in PROSE and not any(
                 type(x) is Node and (x.tag in PROSE or x.tag == "div") for x in k.kids)
         if countable and k.kids:
-            marks[k.digest] = None
-            chain.append(k.digest)
+            chain.append(marks.setdefault(k.digest, len(marks)))
         counted.append(bool(countable and k.kids))
         own_header = k.tag == "header" and (guard or id(n) in guard_ids)
         gone = k.drop or (k.tag == "header" and not own_header)
@@ -281,57 +303,101 @@ def pieces(html: str | None) -> tuple[list[tuple[str, list[int]]], list[int]]:
     return blocks, list(marks)
 
 
-PARSED = "page_id long, url string, host string, blocks array<struct<t: string, d: array<bigint>>>, marks array<bigint>"
+def pieces(html: str | None) -> tuple[list[tuple[str, list[int]]], list[int]]:
+    """(blocks that the tag rules leave, with the hashes of the subtrees that may delete them, hashes of all countable subtrees)."""
+    blocks, marks = page_blocks(html)
+    return [(t, [marks[i] for i in d]) for t, d, rule in blocks if rule == KEPT], marks
 
 
-def parsed_pages(pages: DataFrame) -> DataFrame:
-    """One row per page: its article's blocks and its subtree hashes. Written once."""
-    kinds = pa.list_(pa.struct([("t", pa.string()), ("d", pa.list_(pa.int64()))]))
+def article(blocks: list[tuple[str, list[int], int]], found: set[int]) -> tuple[str, int, int]:
+    """(text, characters deleted by templates, characters deleted by tag rules) of a page's blocks.
 
-    def run(batch: pa.RecordBatch):
-        for lo in range(0, batch.num_rows, 500):
-            part = batch.slice(lo, 500)
-            found = [pieces(h.as_py()) for h in part.column(3)]
-            yield pa.RecordBatch.from_arrays([
-                part.column(0), part.column(1), part.column(2),
-                pa.array([[{"t": _sound(t), "d": d} for t, d in f[0]] for f in found], kinds),
-                pa.array([f[1] for f in found], pa.list_(pa.int64()))],
-                names=["page_id", "url", "host", "blocks", "marks"])
+    The templates go first. Of what they leave, the tag rules drop the page parts, and the text
+    outside the article if the article holds at least half of the text then left.
+    """
+    left = [(t, rule) for t, d, rule in blocks if found.isdisjoint(d)]
+    size = [sum(len(t) for t, rule in left if rule == r) for r in (KEPT, BY_TAG, OUTSIDE)]
+    rules = (KEPT,) if size[KEPT] >= size[OUTSIDE] else (KEPT, OUTSIDE)
+    by_rule = sum(size) - sum(size[r] for r in rules)
+    by_template = sum(len(b[0]) for b in blocks) - sum(size)
+    return "\n".join(t for t, rule in left if rule in rules), by_template, by_rule
 
+
+def _key(host: str, blocks: list, marks: list[int]) -> tuple[bytes, bytes]:
+    """(digest of the host and all that decides the page's text, the blocks packed)."""
+    packed = json.dumps([blocks, marks], ensure_ascii=False, separators=(",", ":")).encode("utf-8")
+    return xxhash.xxh3_128_digest(host.encode("utf-8", "replace") + b"\x00" + packed), packed
+
+
+def _source(pages: DataFrame) -> DataFrame:
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
-    source = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", host.alias("host"), "html")
-    return written(map_batches(source, run, PARSED).withColumn("row_id", F.monotonically_increasing_id()), "html-pieces")
+    return pages.select(F.col("page_id").cast("long").alias("page_id"), "url", host.alias("host"), "html")
 
 
-def _sound(text: str) -> str:
-    """References to surrogates or beyond Unicode are replaced; all else stays."""
-    return text.encode("utf-8", "replace").decode("utf-8")
+def distinct_pages(pages: DataFrame) -> DataFrame:
+    """(page, marks): each distinct page of a host with its subtree hashes, which carry the host. Written once."""
+
+    def run(batch: pa.RecordBatch):
+        keys, found = [], []
+        for host, html in zip(batch.column(2).to_pylist(), batch.column(3), strict=True):
+            blocks, marks = page_blocks(html.as_py())
+            keys.append(_key(host, blocks, marks)[0])
+            seed = xxhash.xxh3_64_intdigest(host.encode("utf-8", "replace"))
+            found.append([xxhash.xxh3_64_intdigest(m.to_bytes(8, "little", signed=True), seed) - (1 << 63) for m in marks])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(keys, pa.binary()), pa.array(found, pa.list_(pa.int64()))], names=["page", "marks"])
+
+    parsed = map_batches(_source(pages), run, "page binary, marks array<bigint>")
+    return written(parsed.groupBy("page").agg(F.first("marks").alias("marks")), "html-marks")
 
 
-def templates(parsed: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
-    """(host, mark, n_pages): the subtrees that recur on ``min_pages`` pages of a host."""
-    return parsed.select("host", F.explode("marks").alias("mark")).groupBy("host", "mark").agg(
+def packed_pages(pages: DataFrame) -> DataFrame:
+    """(page_id, url, page, packed): one row per page with its blocks, compressed for the shuffle."""
+
+    def run(batch: pa.RecordBatch):
+        squeeze = zstandard.ZstdCompressor(level=6, write_checksum=False)
+        for lo in range(0, batch.num_rows, 500):
+            part = batch.slice(lo, 500)
+            keys, packs = [], []
+            for host, html in zip(part.column(2).to_pylist(), part.column(3), strict=True):
+                blocks, marks = page_blocks(html.as_py())
+                keys.append(_key(host, blocks, marks)[0])
+                packs.append(squeeze.compress(json.dumps(
+                    blocks, ensure_ascii=False, separators=(",", ":")).encode("utf-8", "replace")))
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), part.column(1), pa.array(keys, pa.binary()), pa.array(packs, pa.binary())],
+                names=["page_id", "url", "page", "packed"])
+
+    return map_batches(_source(pages), run, "page_id long, url string, page binary, packed binary")
+
+
+def templates(distinct: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
+    """(mark, n_pages): the subtrees that recur on ``min_pages`` distinct pages of a host."""
+    return distinct.select(F.explode("marks").alias("mark")).groupBy("mark").agg(
         F.count(F.lit(1)).alias("n_pages")).filter(F.col("n_pages") >= min_pages)
 
 
-def extract(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
-    """page_id, url, text and n_chars, one row per page.
+EXTRACTED = ("page_id long, url string, text string, n_chars long, n_template_subtrees int, n_template_chars long, "
+             "n_rule_chars long")
 
-    Only pages with a block inside a countable subtree need the templates; all others are
-    complete after the parse and are not shuffled.
+
+def extract(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
+    """One row per page: page_id, url, text, n_chars, n_template_subtrees (recurring subtrees of the page) and the
+    characters deleted by them (n_template_chars) and, of what they leave, by tag rules (n_rule_chars).
     """
-    parsed = parsed_pages(pages)
-    exposed = F.exists("blocks", lambda b: F.size(b["d"]) > 0)
-
-    def finished(df: DataFrame, blocks) -> DataFrame:
-        text = F.array_join(F.transform(blocks, lambda b: b["t"]), "\n")
-        return df.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
-
-    open_pages = parsed.filter(exposed)
-    marked = open_pages.select("row_id", "host", F.explode(F.array_distinct(F.flatten(F.transform(
-        "blocks", lambda b: b["d"])))).alias("mark"))
-    found = marked.join(templates(parsed, min_pages), ["host", "mark"]).groupBy("row_id").agg(
-        F.collect_set("mark").alias("found"))
-    kept = F.filter("blocks", lambda b: F.col("found").isNull() | ~F.arrays_overlap(b["d"], F.col("found")))
-    return finished(parsed.filter(~exposed), F.col("blocks")).unionByName(
-        finished(open_pages.join(found, "row_id", "left"), kept))
+    distinct = distinct_pages(pages)
+    marked = distinct.select("page", F.posexplode("marks").alias("pos", "mark"))
+    found = marked.join(templates(distinct, min_pages), "mark").groupBy("page").agg(F.collect_list("pos").alias("found"))
+
+    def run(batch: pa.RecordBatch):
+        swell = zstandard.ZstdDecompressor()
+        hits = batch.column(3).to_pylist()
+        done = [article(json.loads(swell.decompress(p.as_py())), set(f or ())) for p, f in zip(batch.column(2), hits, strict=True)]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array([d[0] for d in done], pa.string()),
+             pa.array([len(d[0]) for d in done], pa.int64()), pa.array([len(f or ()) for f in hits], pa.int32()),
+             pa.array([d[1] for d in done], pa.int64()), pa.array([d[2] for d in done], pa.int64())],
+            names=[c.split()[0] for c in EXTRACTED.split(", ")])
+
+    joined = packed_pages(pages).join(found, "page", "left").select("page_id", "url", "packed", "found")
+    return map_batches(joined, run, EXTRACTED)

@@ -26,3 +26,23 @@ def test_class_names_never_drop_the_main_prose():
     assert plain("<article class='related'><p>Long text</p><div class='comments'><p>nice</p></div></article>") == ["Long text"]
     teaser = "<div class='related'><article><p>Teaser</p></article></div>"
     assert plain(f"<main><div><p>Much longer than the teaser</p></div>{teaser}</main>") == ["Much longer than the teaser"]
+
+
+def test_counts_decide_on_pages_with_an_article(spark):
+    menu = "<nav><ul><li>Home<li>News</ul></nav><div class='box'>Our shop</div>"
+    htmls = [f"<body>{menu}<article><p>Post {i}</p><div class='x'>Read on</div></article><div><p>Legal text</p></div></body>"
+             for i in range(6)]
+    # A teaser in an article element; the page's own text lies outside and outweighs it.
+    htmls += [f"<body>{menu}<article><p>Tip {i}</p></article><div><p>The long text of page {i} itself</p></div></body>"
+              for i in range(6, 12)]
+    got = texts(spark, htmls)
+    assert {i: r.text for i, r in got.items()} == {i: f"Post {i}" for i in range(6)} | {
+        i: f"Tip {i}\nThe long text of page {i} itself" for i in range(6, 12)}
+    for i, r in got.items():  # Home, News, Our shop; Read on, Legal text
+        assert r.n_template_chars == 16 + (17 if i < 6 else 0) and r.n_rule_chars == 0 and r.n_template_subtrees > 2
+
+
+def test_same_pages_count_once_and_rules_take_the_rest(spark):
+    page = "<body><footer>About</footer><div><p>Copy</p></div><div>note</div></body>"
+    got = texts(spark, [page] * 9)
+    assert {(r.text, r.n_template_chars, r.n_rule_chars) for r in got.values()} == {("Copy\nnote", 0, 5)}
