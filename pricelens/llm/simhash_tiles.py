@@ -58,17 +58,18 @@ def fingerprint(text: bytes, shingle: int = 3) -> int:
     return int(np.packbits(bits, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """(doc_id, fp): one row per document; ``fp`` is the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, shingle: int = 3, carried: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fp, carried binary columns): one row per document; ``fp`` is the fingerprint as a signed long."""
 
     def run(batch: pa.RecordBatch):
         texts = batch.column(1)
         fps = [fingerprint(t.as_buffer().to_pybytes() if t.is_valid else b"", shingle) for t in texts]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(np.array(fps, dtype=np.uint64).view(np.int64))], names=["doc_id", "fp"])
+            [batch.column(0), pa.array(np.array(fps, dtype=np.uint64).view(np.int64)), *batch.columns[2:]],
+            names=["doc_id", "fp", *carried])
 
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return map_batches(source, run, "doc_id long, fp long")
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"), *carried)
+    return map_batches(source, run, ", ".join(["doc_id long, fp long", *(f"`{c}` binary" for c in carried)]))
 
 
 # ---- links inside a key ------------------------------------------------------------------
@@ -267,20 +268,23 @@ def near_groups(docs: DataFrame, shingle: int = 3, radius: int = 3, tile_rows: i
 
 
 def keep_one_of_each(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
-    """``docs`` with one document of each near-duplicate group, the one of smallest doc_id.
+    """``docs`` with one row of each near-duplicate group: that of the smallest doc_id, a null one last.
 
-    Documents without a doc_id cannot name their group; they stay unless their group has a
-    named one. Of repeated rows with the kept doc_id, one stays.
+    Rows are told apart by a key, the digest of doc_id and text, as a doc_id may be null or
+    shared; of a group's rows with the smallest doc_id the smallest key counts. Of rows that
+    agree in both doc_id and text any one stays.
     """
-    from pyspark.sql import Window
-
     names = docs.columns
-    groups = near_groups(docs, shingle, radius)
-    kept = groups.filter("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct()
-    nameless = groups.filter("doc_id is null and component_id is null")
-    named = docs.join(kept, F.col("doc_id") == F.col("__id"), "left_semi")
-    one = Window.partitionBy("doc_id").orderBy(F.length("text").desc_nulls_last(), F.col("text"))
-    named = named.withColumn("__n", F.row_number().over(one)).filter("__n = 1").select(*names)
-    if nameless.isEmpty():
-        return named
-    return named.unionByName(docs.filter("doc_id is null"))
+    key = "__row_key"
+    while key in names:
+        key += "_"
+    digest = F.sha2(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce("text", F.lit(""))), 256)
+    keyed = docs.withColumn(key, F.unhex(digest))
+    prints = written(fingerprints(keyed, shingle, (key,)), "simhash")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col(key).alias("key"))
+    distinct = prints.groupBy("fp").agg(F.min(order).alias("best"))
+    roots = components(links(distinct.select("fp"), radius))
+    rooted = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
+        "best", F.coalesce("root", "fp").alias("root"))
+    kept = rooted.groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.key").alias("__kept_key"))
+    return keyed.dropDuplicates([key]).join(kept, F.col(key) == F.col("__kept_key"), "left_semi").select(*names)
