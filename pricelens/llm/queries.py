@@ -98,7 +98,7 @@ r AS (
 cdf AS (
   SELECT source, j, sum(term) OVER (PARTITION BY source ORDER BY j) AS cum
   FROM (SELECT source, j, exp(j * ln(rate) - rate - lgamma(j + 1.0)) AS term
-        FROM r, range(0, 120) AS g(j) WHERE rate > 0)),
+        FROM (SELECT source, rate, unnest(range(0, ceil(rate + 12 * sqrt(rate) + 40)::BIGINT + 1)) AS j FROM r WHERE rate > 0))),
 d AS (
   SELECT doc_id, source, text, md5(coalesce(text, '')) AS t FROM documents),
 n AS (
