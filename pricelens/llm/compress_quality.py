@@ -79,9 +79,12 @@ def features(sizes: np.ndarray) -> np.ndarray:
 
 
 def sampled_texts(docs: DataFrame, sample: DataFrame) -> DataFrame:
-    """(doc_id, y, text) of the sampled rows: the sample (bounded) is broadcast."""
+    """(doc_id, y, text) of the sampled documents, one row each: the sample (bounded) is broadcast.
+
+    Of rows that share a doc_id the smallest text counts; they are reduced before the shuffle.
+    """
     return docs.select(F.col("doc_id"), F.coalesce("text", F.lit("")).cast("binary").alias("text")).join(
-        F.broadcast(sample), "doc_id")
+        F.broadcast(sample), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE) -> dict:

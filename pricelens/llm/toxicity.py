@@ -244,7 +244,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", toxic_sample:
     constant = {"constant": counts[1] / total if total else 0.0}
     if not all(counts.values()):
         return constant
-    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    # One row per sampled document: of rows that share a doc_id the smallest text counts.
+    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text"))
     by_word = word_counts(rows)
     sizes = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     n, m = sizes.get(1, 0), sizes.get(0, 0)
