@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelens.llm import (
-    chunk_recipes, compress_quality, html_template, piece_tokenizer, poisson_mix, repeat_spans, simhash_tiles,
-    topk_segments, toxicity, warc_revisit,
+    chunk_recipes, compress_quality, html_template, language_ppm, periodic_runs, piece_tokenizer, poisson_mix, repeat_spans,
+    simhash_tiles, spelling_variants, topk_segments, toxicity, warc_revisit,
 )
 from pricelens.llm.common import read_table
 
@@ -60,6 +60,20 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str, model: str = TOKENIZER)
     return piece_tokenizer.encode(read_table(spark, sf_dir, "documents"), data, with_ids=False)
 
 
+def op11_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return language_ppm.predict(docs, language_ppm.fit(docs))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.group_variants(spelling_variants.word_counts(read_table(spark, sf_dir, "documents"), typos=True))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.with_echoes(read_table(spark, sf_dir, "documents"))
+    return periodic_runs.digest(periodic_runs.periodic_runs(docs))
+
+
 LLM_QUERIES = {
     "op1_html_text": op1_html_text,
     "op2_warc_revisits": op2_warc_revisits,
@@ -71,6 +85,9 @@ LLM_QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_repeated_spans": op10_repeated_spans,
+    "op11_language": op11_language,
+    "op12_spelling": op12_spelling,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 OP9_SQL = r"""
