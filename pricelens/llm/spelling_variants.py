@@ -29,39 +29,89 @@ from __future__ import annotations
 
 import hashlib
 import math
-import string
 import zlib
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricelens.llm.common import map_batches, written
+from pricelens.llm.common import map_batches, split_batch, written
 
 BUCKETS = 1 << 16
+SLICE = 16 << 20  # bytes of text whose words are counted at a time
 FLUSH = 16 << 20  # characters of index rows built at a time
 PREFIX = 3  # q * tau + 1 grams for bigrams and one edit
 NOT_A_WORD = "[^A-Za-zÀ-ÿ]+"
 TYPO = 97
 
 
+def _crc_table() -> np.ndarray:
+    table = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        table = np.where(table & 1, (table >> 1) ^ np.uint32(0xEDB88320), table >> 1).astype(np.uint32)
+    return table
+
+
+def _crcs(first: np.ndarray, sizes: np.ndarray) -> dict[int, np.ndarray]:
+    """For each size the part of the crc32 of a first text and one of ``size`` bytes that the first text
+    gives: crc32(a + b) is the crc32 of a moved on by len(b) zero bytes, xor the crc32 of b."""
+    table, out, wanted = _crc_table(), {}, set(sizes.tolist())
+    for size in range(int(sizes.max(initial=0)) + 1):
+        if size in wanted:
+            out[size] = first
+        first = table[first & 0xFF] ^ (first >> np.uint32(8))
+    return out
+
+
+def _typos(ids, words: pa.Array, index: np.ndarray, text_of: np.ndarray, letters: np.ndarray):
+    """Which runs get a typing error, and what they become."""
+    raw = words.cast(pa.binary()).to_pylist()
+    sizes = np.array([len(w) for w in raw], np.int64)
+    own = np.array([zlib.crc32(w) for w in raw], np.uint32)
+    moved = _crcs(np.array([zlib.crc32(f"{i}:".encode()) for i in ids], np.uint32), np.unique(sizes))
+    rank = {size: k for k, size in enumerate(moved)}
+    column = np.array([rank[size] for size in sizes.tolist()], np.int64)
+    h = np.stack(list(moved.values()), axis=1)[text_of, column[index]] ^ own[index]
+    hit = np.flatnonzero((h % TYPO == 0) & (letters[index] > 0))
+    out = []
+    for k in hit.tolist():
+        word = raw[index[k]].decode()
+        at = int(h[k]) % len(word)
+        out.append(word[:at] + word[at + 1:])
+    return hit, out
+
+
 def word_counts(docs: DataFrame, least_length: int = 5, least_n: int = 3, typos: bool = False) -> DataFrame:
     """(word, n): the runs of letters of all texts, A-Z lower-cased, of at least ``least_length``
     code points and ``least_n`` occurrences.
 
     ``typos`` plants one typing error in about every 97th run: where 97 divides
     h = crc32("<doc_id>:<run>") the code point h % length is deleted."""
-    lower = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
-    runs = docs.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"),
-                       F.explode(F.split(lower, NOT_A_WORD)).alias("run")).filter("run != ''")
-    word: Column = F.col("run")
-    if typos:
-        h = F.crc32(F.concat("id", F.lit(":"), "run"))
-        at = (h % F.length("run")).cast("int")
-        cut = F.concat(F.substring(word, F.lit(1), at), F.substring(word, at + 2, F.length(word)))
-        word = F.when(h % TYPO == 0, cut).otherwise(word)
-    return (runs.select(word.alias("word")).filter(F.length("word") >= least_length)
-            .groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least_n))
+
+    def count(batch):
+        for part in split_batch(batch, "text", SLICE):
+            lists = pc.split_pattern_regex(pc.ascii_lower(pc.fill_null(part.column("text"), "")), NOT_A_WORD)
+            coded = lists.flatten().dictionary_encode()
+            words, index = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
+            letters = pc.utf8_length(words).to_numpy(zero_copy_only=False)
+            n = np.bincount(index, minlength=len(words))
+            planted: list[str] = []
+            if typos:
+                text_of = np.repeat(np.arange(len(part)), np.diff(lists.offsets.to_numpy()))
+                long = np.flatnonzero(letters[index] >= least_length)  # shorter runs become no words
+                hit, planted = _typos(part.column("id").to_pylist(), words, index[long], text_of[long], letters)
+                n -= np.bincount(index[long[hit]], minlength=len(words))
+            keep = np.flatnonzero((letters >= least_length) & (n > 0))
+            planted = [w for w in planted if len(w) >= least_length]
+            yield pa.RecordBatch.from_arrays(
+                [pa.concat_arrays([words.take(pa.array(keep)), pa.array(planted, pa.string())]),
+                 pa.array(np.append(n[keep], np.ones(len(planted), np.int64)))], ["word", "n"])
+
+    texts = docs.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), F.col("text").cast("string").alias("text"))
+    return (map_batches(texts, count, "word string, n long")
+            .groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= least_n))
 
 
 INDEX = pa.schema([("side", pa.string()), ("pivot", pa.bool_()), ("word", pa.string()), ("n", pa.int64()),
