@@ -8,12 +8,12 @@ at most one of two disjoint pivots, so one of them stands unchanged in the near
 if the last gram of the word's prefix does not come after that of the other's prefix, it
 belongs to the other's prefix.
 
-Position limit: the edit lies on one side of the unchanged pivot, so the other side is the
-same in both words. With the edit after the first pivot's start the text up to its end is
-common, else the text from the second pivot on is. Pivots are indexed with that text and
-looked up with the same text at the other words' prefix grams; words whose lengths differ by
-more than one, or whose sets of letters differ by more than two, are not compared; the edit
-distance decides.
+Position limit: a word is cut between its pivots, as near its middle as they allow. The edit
+lies in one part, so the near word begins with the other part, or ends in it, and holds that
+part's pivot at the same distance from that end. Each pivot is indexed with its part; the other
+words' prefix grams are looked up with every beginning or end of the word that holds one. Words
+whose lengths differ by more than one, or whose sets of letters differ by more than two, are
+not compared; the edit distance decides.
 
 Scale: words are counted with map-side combination. Gram counts are kept in ``BUCKETS``
 buckets (the only thing collected and broadcast, 512 KB at most); a gram's place in the order
@@ -115,7 +115,7 @@ def word_counts(docs: DataFrame, least_length: int = 5, least_n: int = 3, typos:
 
 
 INDEX = pa.schema([("side", pa.string()), ("pivot", pa.bool_()), ("word", pa.string()), ("n", pa.int64()),
-                   ("last", pa.string()), ("size", pa.int32()), ("letters", pa.int64())])
+                   ("last", pa.string()), ("letters", pa.int64())])
 
 
 def _bucket(gram: str) -> int:
@@ -156,15 +156,16 @@ def _letters(word: str) -> int:
     return bits
 
 
-def _side(mark: str, text: str) -> str:
-    """The key of a common side; long ones by their digest."""
-    return mark + (text if len(text) <= 32 else hashlib.md5(text.encode()).hexdigest())
+def _side(mark: str, text: str, size: int) -> str:
+    """The key of a common side in a word of ``size`` code points; long sides by their digest."""
+    return f"{size}{mark}{text if len(text) <= 32 else hashlib.md5(text.encode()).hexdigest()}"
 
 
 def _index(sent):
-    """Rows of the index: pivots (pivot true) and prefix grams, with the text their side shares.
+    """Rows of the index: a word's parts with their pivots (pivot true), for each length that a near
+    word may have, and the beginnings and ends of a word that hold a prefix gram, for its length.
 
-    A long word of one repeated bigram has as many rows as places, so rows leave by volume."""
+    A word has as many rows as code points, and more, so rows leave by volume."""
 
     def table(rows):
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), INDEX)], schema=INDEX)
@@ -175,11 +176,17 @@ def _index(sent):
             prefix, pivots = prefix_and_pivots(word, counts)
             if pivots is None:
                 continue
-            rest = (word, n, f"{prefix[-1][0]:012d}{prefix[-1][1]}", len(word), _letters(word))
-            rows += [(_side("<", word[:pivots[0] + 2]), True, *rest), (_side(">", word[pivots[1]:]), True, *rest)]
-            for _, _, place in prefix:
-                rows += [(_side("<", word[:place + 2]), False, *rest), (_side(">", word[place:]), False, *rest)]
-                volume += 2 * len(word) + 200
+            rest = (word, n, f"{prefix[-1][0]:012d}{prefix[-1][1]}", _letters(word))
+            size, places = len(word), [place for _, _, place in prefix]
+            cut = min(max(size // 2, pivots[0] + 2), pivots[1])
+            rows += [(_side("<", word[:cut], other), True, *rest) for other in (size - 1, size, size + 1)]
+            rows += [(_side(">", word[cut:], other), True, *rest) for other in (size - 1, size, size + 1)]
+            for cut in range(1, size):
+                if cut >= min(places) + 2:
+                    rows.append((_side("<", word[:cut], size), False, *rest))
+                if cut <= max(places):
+                    rows.append((_side(">", word[cut:], size), False, *rest))
+                volume += 2 * size + 200
                 if volume > FLUSH:
                     yield table(rows)
                     rows, volume = [], 0
@@ -195,12 +202,11 @@ def near_words(words: DataFrame) -> DataFrame:
     ``words``: (word, n) with distinct words of at least four code points."""
     sent = words.sparkSession.sparkContext.broadcast(gram_counts(words))
     rows = written(map_batches(words.select("word", "n"), _index(sent), "side string, pivot boolean, word string, n long, "
-                               "last string, size int, letters long"), "pivots")
+                               "last string, letters long"), "pivots")
     a, b = rows.filter("pivot").alias("a"), rows.filter("NOT pivot").alias("b")
-    far = (F.col("a.last") <= F.col("b.last")) & (F.col("a.word") != F.col("b.word")) & (
-        F.abs(F.col("a.size") - F.col("b.size")) <= 1) & (
+    near = (F.col("a.last") <= F.col("b.last")) & (F.col("a.word") != F.col("b.word")) & (
         F.bit_count(F.col("a.letters").bitwiseXOR(F.col("b.letters"))) <= 2)
-    found = (a.join(b, (F.col("a.side") == F.col("b.side")) & far)
+    found = (a.join(b, (F.col("a.side") == F.col("b.side")) & near)
              .filter(F.levenshtein(F.col("a.word"), F.col("b.word"), 1) == 1))
     first = F.col("a.word") < F.col("b.word")
     one, two = F.struct("a.word", "a.n"), F.struct("b.word", "b.n")
