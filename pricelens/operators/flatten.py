@@ -7,9 +7,9 @@ Plan shape (all DataFrame operators, no UDF):
     providers --join base on document (broadcast)---+
 
 * The provider side (providers x base, one row per group and document) is the
-  small side. It is broadcast only behind a bounded row count
-  (``plans.joins.bounded_broadcast``); beyond it the join is a shuffle join and
-  AQE splits skewed reference keys on the rates side.
+  small side. It is broadcast only when the plan's statistics bound its bytes
+  (``plans.joins.fits_broadcast``, no job); beyond it the join is a shuffle join
+  and AQE splits skewed reference keys on the rates side.
 * Prices are exploded after the join, so the prices array travels through the
   join once per reference instead of once per price.
 * The reference pipeline wrote ``full_outer`` joins whose later ``explode`` turns
@@ -21,16 +21,19 @@ Plan shape (all DataFrame operators, no UDF):
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.joins import bounded_broadcast, fits_broadcast
+from ..plans.joins import fits_broadcast
 from ..schemas import BASE_FIELDS, DOC_KEY, NPI_RATES_COLUMNS, PRICE_FIELDS, RATES_COLUMNS
 from .unnest import flatten_present, unnest
 
 RATE_COL = "exploded_negotiated_rates"
 PRICES_COL = "exploded_negotiated_rates_negotiated_prices"
 REF_COL = "exploded_negotiated_rates_provider_references"
+NPI_BYTES = 8
 ITEM_COLUMNS = ["billing_code", "billing_code_type", "billing_code_type_version", "description", "name"]
 
 
@@ -45,7 +48,7 @@ def attach_base(providers: DataFrame, base: DataFrame, columns: list[str] | None
     An equi-join on the document key instead of a cross join: with one document
     it gives the same rows, with many it does not multiply documents together.
     A document without a header row loses its providers, as a cross join with an
-    empty side would. The header table is broadcast after a bounded row count.
+    empty side would. The header table is broadcast when its bytes are bounded.
     """
     cols = columns or providers.columns
     b = base.select(DOC_KEY, *BASE_FIELDS)
@@ -85,9 +88,7 @@ def _price_columns() -> list[Column]:
     return [F.col(f"{PRICES_COL}.{f}").alias(f) for f in PRICE_FIELDS]
 
 
-def _join_providers(pb: DataFrame, rates: DataFrame, how: str, small: bool | None = None) -> DataFrame:
-    if small is None:
-        small = fits_broadcast(pb)
+def _join_providers(pb: DataFrame, rates: DataFrame, how: str, small: bool) -> DataFrame:
     p = (F.broadcast(pb) if small else pb).alias("p")
     r = rates.alias("r")
     cond = (F.col(f"p.{DOC_KEY}") == F.col(f"r.{DOC_KEY}")) & (F.col("p.provider_group_id") == F.col(f"r.{REF_COL}"))
@@ -101,15 +102,13 @@ def join_rates_providers(base: DataFrame, providers: DataFrame, in_network: Data
     with ``keep_unmatched`` providers that no rate uses are added with NULL rate
     columns, and items without rates or references stay as NULL rows.
 
-    The broadcast decision for the provider side is taken on exactly the rows
-    that would be broadcast (providers joined with their headers), on an unmarked
-    copy of the plan, so the bounded count does not feed the stage report.
+    The provider side is broadcast when the statistics bound its bytes, headers included.
     """
     if counter is not None and keep_unmatched:
         raise ValueError("stage counts are kept for the rate flatten without unmatched rows")
     providers = providers.select(DOC_KEY, "provider_group_id")
-    small = fits_broadcast(attach_base(providers, base))
     pb = attach_base(providers, base, counter=counter)
+    small = fits_broadcast(providers, widened=pb)  # one row for each provider
     marked = _mark(counter, "in_network", in_network)
     rates = _mark(counter, "rates_exploded", explode_rates(marked, keep_empty=keep_unmatched))
     refs = _mark(counter, "references_exploded", rate_references(marked, keep_empty=keep_unmatched, rates=rates))
@@ -127,9 +126,14 @@ def join_rates_providers(base: DataFrame, providers: DataFrame, in_network: Data
     return _mark(counter, "joined", joined)
 
 
+def _clustered(joined: DataFrame, by: str | Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """By a column, sized by the bytes shuffled, or by a placement such as ``plans.layout.by_weight``."""
+    return by(joined) if callable(by) else joined.hint("rebalance", by)
+
+
 def flatten_rates(base: DataFrame, providers: DataFrame, in_network: DataFrame,
                   keep_unmatched: bool = False, keep_source: bool = False, counter=None,
-                  cluster_by: str | None = None) -> DataFrame:
+                  cluster_by: str | Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Q2 (and Q3 with ``keep_unmatched``): 19-column rate table, one row per
     (rate element, provider reference, price).
 
@@ -141,7 +145,7 @@ def flatten_rates(base: DataFrame, providers: DataFrame, in_network: DataFrame,
     if cluster_by:
         # Cluster for the write before prices multiply the rows: the shuffle moves
         # one row per reference with its price array, not one wide row per price.
-        joined = joined.hint("rebalance", cluster_by)
+        joined = _clustered(joined, cluster_by)
     keep = [DOC_KEY, *BASE_FIELDS, "provider_group_id", *ITEM_COLUMNS, REF_COL, "negotiation_arrangement"]
     out = unnest(joined, PRICES_COL, PRICES_COL, keep=keep, keep_empty=keep_unmatched)
     cols = ([DOC_KEY] if keep_source else []) + RATES_COLUMNS
@@ -178,21 +182,22 @@ def inline_npi_rates(base: DataFrame, in_network: DataFrame) -> DataFrame:
 
 def flatten_npi_rates(base: DataFrame, providers: DataFrame, in_network: DataFrame,
                       keep_source: bool = False, include_inline: bool = False,
-                      cluster_by: str | None = None) -> DataFrame:
+                      cluster_by: str | Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Q4: 22-column table, one row per (rate element, reference, price, provider
     group, npi). Rates with an unknown reference have no npi and drop out, so the
     join is inner."""
     pn = npi_providers(base, providers)
     rates = rate_references(in_network, extra=["covered_services"])
-    # The bound is checked on the (group, npi) rows themselves: a group may carry
-    # thousands of npis, so the provider count says nothing about their size.
-    joined = _join_providers(pn, rates, "inner").select(
+    # A group may carry thousands of npis, so the bound is taken on the npis' own bytes.
+    groups = providers.select(DOC_KEY, "provider_group_id", "provider_groups")
+    small = fits_broadcast(groups, widened=pn, least_row=NPI_BYTES)
+    joined = _join_providers(pn, rates, "inner", small).select(
         F.col(f"r.{DOC_KEY}"), *[F.col(f"p.{c}") for c in BASE_FIELDS],
         F.col("p.provider_group_id"), "p.npi", "p.tin_type", "p.tin",
         *[F.col(f"r.{c}") for c in ITEM_COLUMNS], "r.covered_services",
         F.col(f"r.{PRICES_COL}"), "r.negotiation_arrangement")
     if cluster_by:
-        joined = joined.hint("rebalance", cluster_by)
+        joined = _clustered(joined, cluster_by)
     keep = [c for c in joined.columns if c != PRICES_COL]
     out = unnest(joined, PRICES_COL, PRICES_COL, keep=keep)
     cols = ([DOC_KEY] if keep_source else []) + NPI_RATES_COLUMNS

@@ -3,8 +3,8 @@
 Lookups filter on the partition column (directory pruning) and on the bucket
 column (file pruning within a directory; needs
 ``spark.sql.sources.bucketing.autoBucketedScan.enabled=false``), so a lookup by code
-reads one directory, or one bucket file of it. A lookup by npi reads the copy sorted by
-npi (``layout.write_npi_lookup``), where row-group statistics skip all other npis.
+reads one directory, or one bucket file of it. A lookup by npi opens one bucket of each code of
+the NPI table and reads the row groups whose Bloom filter holds the npi.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ def rates_by_code(rates: DataFrame, code: str, columns: list[str] | None = None)
 
 
 def rates_by_npi(npi_rates: DataFrame, npi: int) -> DataFrame:
-    """L3: rates of one NPI (pushed down to the row groups of the copy sorted by npi)."""
+    """L3: rates of one NPI (bucket filter, then pushed down to the row groups' Bloom filters)."""
     return npi_rates.where(F.col("npi") == F.lit(npi).cast("long"))
 
 
@@ -36,8 +36,8 @@ def rates_by_code_and_type(rates: DataFrame, code: str, negotiated_type: str) ->
 def unknown_references(providers: DataFrame, in_network: DataFrame) -> DataFrame:
     """D1: rate references no provider group of the same document carries.
 
-    ``left_anti`` against the provider ids; the provider side is broadcast after a
-    bounded count, else the anti join shuffles (and AQE splits a hot reference)."""
+    ``left_anti`` against the provider ids; the provider side is broadcast when its
+    bytes are bounded, else the anti join shuffles (and AQE splits a hot reference)."""
     refs = rate_references(in_network)
     known = bounded_broadcast(providers.select(DOC_KEY, F.col("provider_group_id").alias(REF_COL)))
     return refs.join(known, [DOC_KEY, REF_COL], "left_anti").select(

@@ -165,6 +165,34 @@ UNION ALL SELECT 'joined', 14, (SELECT count(*) FROM el_refs)
 UNION ALL SELECT 'rates', 19, (SELECT count(*) FROM rate_rows)
 """
 
+# The columns of each stage, in order.
+_HEADER_TYPES = "reporting_entity_name:string,reporting_entity_type:string,last_updated_on:string,version:string"
+_PRICE_TYPES = ("additional_information:string,billing_class:string,billing_code_modifier:array<string>,expiration_date:string,"
+                "negotiated_rate:double,negotiated_type:string,service_code:array<string>")
+_RATE_TYPES = (f"negotiated_prices:array<struct<{_PRICE_TYPES}>>,provider_references:array<bigint>,"
+               "provider_groups:array<struct<npi:array<bigint>,tin:struct<type:string,value:string>>>")
+_CODE_TYPES = "billing_code_type:string,billing_code_type_version:string,billing_code:string,description:string"
+_ITEM_TYPES = "billing_code:string,billing_code_type:string,billing_code_type_version:string,description:string,name:string"
+_PRICES_TYPE = f"exploded_negotiated_rates_negotiated_prices:array<struct<{_PRICE_TYPES}>>"
+_REF_TYPE = "exploded_negotiated_rates_provider_references:bigint"
+_STAGE_SCHEMAS = {
+    "base": f"source_file:string,{_HEADER_TYPES}",
+    "provider_references": "source_file:string,provider_group_id:bigint",
+    "providers_with_base": f"source_file:string,provider_group_id:bigint,{_HEADER_TYPES}",
+    "in_network": f"source_file:string,negotiation_arrangement:string,name:string,{_CODE_TYPES},"
+                  f"negotiated_rates:array<struct<{_RATE_TYPES}>>,covered_services:array<struct<{_CODE_TYPES}>>,"
+                  f"bundled_codes:array<struct<{_CODE_TYPES}>>",
+    "rates_exploded": f"source_file:string,{_ITEM_TYPES},negotiation_arrangement:string,"
+                      f"exploded_negotiated_rates:struct<{_RATE_TYPES}>",
+    "references_exploded": f"source_file:string,{_ITEM_TYPES},{_PRICES_TYPE},negotiation_arrangement:string,{_REF_TYPE}",
+    "joined": f"source_file:string,{_HEADER_TYPES},provider_group_id:bigint,{_ITEM_TYPES},{_PRICES_TYPE},{_REF_TYPE},"
+              "negotiation_arrangement:string",
+    "rates": f"{_HEADER_TYPES},provider_group_id:bigint,{_ITEM_TYPES},{_PRICE_TYPES},{_REF_TYPE},negotiation_arrangement:string",
+}
+_STAGE_REPORT = f"""
+SELECT s.*, t.schema FROM ({_STAGES}) s
+JOIN (VALUES {', '.join(f"('{k}', '{v}')" for k, v in _STAGE_SCHEMAS.items())}) t(stage, schema) ON t.stage = s.stage"""
+
 
 def _codes_sql(column: str) -> str:
     cond = "p_size <= 10" if column == "covered_services" else "p_size >= 45"
@@ -325,6 +353,7 @@ FROM el_prices ep JOIN items it ON it.p_partkey = ep.l_partkey"""),
     "join_references_right": _with(_JOINED),
     "join_references_full": _with(_JOINED + _JOINED_EXTRA),
     "stage_counts": _with(_STAGES),
+    "stage_report": _with(_STAGE_REPORT),
     "rates_partition_roundtrip": _with(_Q2_BODY),
     "npi_bucket_roundtrip": _with(_Q4_BODY),
     "code_files_roundtrip": _with(_Q2_BODY),
@@ -358,6 +387,10 @@ WHERE er.ref NOT IN (SELECT provider_group_id FROM prov)"""),
     "contract_corrupt_documents": _with(_CORRUPT),
     "flatten_rates_plain_prefix": _with(_Q2_BODY),
     "npi_rates_json_prefix": _with(_Q4_BODY),
+    "flatten_rates_shared_prefix": _with(_Q2_BODY),
+    "rates_weighted_roundtrip": _with(_Q2_BODY),
+    "npi_weighted_roundtrip": _with(_Q4_BODY),
+    "rates_appended": _with(f"SELECT billing_code, negotiated_rate, description FROM ({_Q2_BODY})"),
     "base_files_roundtrip": _with(f"""
 SELECT {_base_cols('TRUE')}, CAST(NULL AS VARCHAR) AS plan_name, CAST(NULL AS VARCHAR) AS plan_id_type,
   CAST(NULL AS VARCHAR) AS plan_id, CAST(NULL AS VARCHAR) AS plan_market_type"""),

@@ -191,12 +191,40 @@ def q_rates_by_code(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_rates_by_npi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _written_npi_rates(spark, sf_dir)
+    return arrays_as_text(lookup.rates_by_npi(t, LOOKUP_NPI).select(*NPI_RATES_COLUMNS))
+
+
+def q_rates_weighted_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R1 + K3 with partitions sized by the rows that will be written."""
+    b, p, i = _tables(spark, sf_dir)
+    name = _table_name("rates_weighted")
+    place = layout.by_weight(layout.rate_weights(i), rows_per_slice=20_000)
+    layout.write_rates(fl.flatten_rates(b, p, i, cluster_by=place), name, scratch_dir(spark, "rates-weighted"), rebalance=None)
+    return arrays_as_text(spark.table(name).select(*RATES_COLUMNS))
+
+
+def q_npi_weighted_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R1 + K4 with partitions sized by the rows that will be written."""
+    b, p, i = _tables(spark, sf_dir)
+    name = _table_name("npi_weighted")
+    place = layout.by_weight(layout.npi_weights(p, i), rows_per_slice=20_000)
+    layout.write_npi_rates(fl.flatten_npi_rates(b, p, i, cluster_by=place), name, scratch_dir(spark, "npi-weighted"),
+                           rebalance=None)
+    return arrays_as_text(spark.table(name).select(*NPI_RATES_COLUMNS))
+
+
+def q_rates_appended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K7: codes that end below 5 are written and registered, the others appended to the table."""
     b, p, i = _tables(spark, sf_dir)
-    rates = fl.flatten_npi_rates(b, p, i)
-    path = scratch_dir(spark, "npi-lookup")
-    layout.write_npi_lookup(rates, path)
-    by_npi = spark.read.schema(rates.schema).parquet(path)
-    return arrays_as_text(lookup.rates_by_npi(by_npi, LOOKUP_NPI).select(*NPI_RATES_COLUMNS))
+    rates = fl.flatten_rates(b, p, i).select("billing_code", "negotiated_rate", "description")
+    low = F.substring("billing_code", -1, 1) < "5"
+    path = scratch_dir(spark, "rates-appended")
+    layout.write_partitions(rates.where(low), path)
+    name = _table_name("rates_appended")
+    layout.register_rates(spark, name, path)
+    layout.append_rates(name, rates.where(~low))
+    return spark.table(name).select("billing_code", "negotiated_rate", "description")
 
 
 def q_rates_by_code_and_type(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -231,8 +259,8 @@ def q_bundled_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _codes(spark, sf_dir, "bundled_codes")
 
 
-def q_stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A1 + I1: rows and columns after each stage of Q2, all counted by the one job
+def q_stage_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1 + I1: rows, columns and schema after each stage of Q2, all rows counted by the one job
     that runs Q2 (here into the no-op sink)."""
     b, p, i = _tables(spark, sf_dir)
     counter = StageCounter()
@@ -240,6 +268,11 @@ def q_stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counter.report(spark)
 
 
+def q_stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1: the counts alone."""
+    return q_stage_report(spark, sf_dir).drop("schema")
+
+
 def q_sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L1: five rate rows, any five: how many there are, and how many are rows of Q2."""
     rates = q_flatten_rates(spark, sf_dir)
@@ -408,6 +441,20 @@ def q_flatten_rates_plain_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return arrays_as_text(fl.flatten_rates(*_plain_prefixes(spark, sf_dir, "parquet", RATES_NEEDS)))
 
 
+def q_flatten_rates_shared_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two documents in the same three folders, each in a subfolder of its own: items of codes with
+    an even last digit belong to one, the rest to the other, and both list all providers."""
+    b, p, i = _tables(spark, sf_dir)
+    even = F.substring("billing_code", -1, 1).isin("0", "2", "4", "6", "8")
+    paths = []
+    for name, parts in (("base", (b, b)), ("providers", (p, p)), ("in_network", (i.where(even), i.where(~even)))):
+        paths.append(scratch_dir(spark, f"shared-{name}"))
+        for document, df in zip(("insurer-a", "insurer-b"), parts):
+            df.drop(DOC_KEY).write.parquet(f"{paths[-1]}/{document}")
+    tables = read_prefixes(spark, *paths, RATES_NEEDS, document_of_path=r"/(insurer-[^/]+)/[^/]*$")
+    return arrays_as_text(fl.flatten_rates(*tables))
+
+
 def q_npi_rates_json_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return arrays_as_text(fl.flatten_npi_rates(*_plain_prefixes(spark, sf_dir, "json", NPI_NEEDS)))
 
@@ -441,6 +488,7 @@ SPARK_QUERIES = {
     "join_references_right": q_join_references_right,
     "join_references_full": q_join_references_full,
     "stage_counts": q_stage_counts,
+    "stage_report": q_stage_report,
     "rates_partition_roundtrip": q_rates_partition_roundtrip,
     "npi_bucket_roundtrip": q_npi_bucket_roundtrip,
     "code_files_roundtrip": q_code_files_roundtrip,
@@ -469,6 +517,10 @@ SPARK_QUERIES = {
     "contract_corrupt_documents": q_contract_corrupt_documents,
     "flatten_rates_plain_prefix": q_flatten_rates_plain_prefix,
     "npi_rates_json_prefix": q_npi_rates_json_prefix,
+    "flatten_rates_shared_prefix": q_flatten_rates_shared_prefix,
+    "rates_weighted_roundtrip": q_rates_weighted_roundtrip,
+    "npi_weighted_roundtrip": q_npi_weighted_roundtrip,
+    "rates_appended": q_rates_appended,
     "base_files_roundtrip": q_base_files_roundtrip,
     "default_arrays": q_default_arrays,
     "stream_flatten_rates": q_stream_flatten_rates,

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 REPORT_SCHEMA = StructType([StructField("stage", StringType()), StructField("columns", LongType()),
-                            StructField("rows", LongType())])
+                            StructField("rows", LongType()), StructField("schema", StringType())])
 
 
 def _observed(obs: Observation) -> int:
@@ -24,25 +24,25 @@ def _observed(obs: Observation) -> int:
 
 
 class StageCounter:
-    """Collects (stage, columns, rows) for the stages of one plan."""
+    """Collects (stage, columns, rows, schema) for the stages of one plan."""
 
     def __init__(self):
-        self._stages: list[tuple[str, int, Observation]] = []
+        self._stages: list[tuple[str, int, str, Observation]] = []
 
     def mark(self, name: str, df: DataFrame) -> DataFrame:
         obs = Observation(name)
-        self._stages.append((name, len(df.columns), obs))
+        self._stages.append((name, len(df.columns), schema_text(df), obs))
         return df.observe(obs, F.count(F.lit(1)).alias("rows"))
 
     def report(self, spark: SparkSession) -> DataFrame:
         """Call after the final plan ran; one row per marked stage."""
-        rows = [(name, ncols, _observed(obs)) for name, ncols, obs in self._stages]
+        rows = [(name, columns, _observed(obs), schema) for name, columns, schema, obs in self._stages]
         return spark.createDataFrame(rows, REPORT_SCHEMA)
 
 
 def schema_text(df: DataFrame) -> str:
-    """I1: the schema as the tree ``printSchema`` shows."""
-    return df.schema.treeString()
+    """I1: names and types of the columns, nested ones included."""
+    return df.schema.simpleString().removeprefix("struct<").removesuffix(">")
 
 
 def sample_rows(df: DataFrame, n: int = 5) -> DataFrame:

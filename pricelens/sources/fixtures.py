@@ -174,8 +174,9 @@ def write_fixture_documents(spark: SparkSession, sf_dir: str, path: str, faults:
     ``faults`` plants violations only raw JSON can carry. ``"numbers"`` (C13): group ids of
     nation 2 and first npis of nation 4 end in ``.5``; of items by part size, 22 has the
     first reference of each rate ending in ``.5``, 23 an inline group with npi 7.5 instead
-    of references, 21 rates of ``"x"``. ``"documents"``: documents of an even block of parts
-    are cut short (C13), those of blocks 1, 5, 9, ... have no ``in_network`` (C1)."""
+    of references, 21 rates of ``"x"``. ``"documents"``: documents of blocks of parts
+    0, 6, 8, 14, ... are cut short, in those of blocks 2, 10, ... a second document follows and in
+    those of blocks 4, 12, ... some text (C13), those of blocks 1, 5, 9, ... have no ``in_network`` (C1)."""
     base = fixture_base(spark, sf_dir)
     providers = fixture_providers(spark, sf_dir, keep_keys=True)
     items = fixture_in_network(spark, sf_dir, keep_keys=True)
@@ -211,7 +212,9 @@ def write_fixture_documents(spark: SparkSession, sf_dir: str, path: str, faults:
         cut = F.col("text").substr(F.lit(1), F.length("text") - 2)
         no_items = F.regexp_replace("text", r'(?s),"in_network":\[.*$', "}")
         docs = docs.withColumn("text", text)
-        text = F.when(block % 2 == 0, cut).when(block % 4 == 1, no_items).otherwise(F.col("text"))
+        twice, more = F.concat("text", F.lit("\n"), "text"), F.concat("text", F.lit(" trailing text"))
+        text = (F.when(block % 8 == 2, twice).when(block % 8 == 4, more).when(block % 2 == 0, cut)
+                .when(block % 4 == 1, no_items).otherwise(F.col("text")))
     (docs.select("doc", text.alias("value")).write.mode("overwrite").partitionBy("doc")
      .option("compression", "gzip").text(path))
     return path

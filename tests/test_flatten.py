@@ -91,16 +91,25 @@ def test_empty_base_drops_providers(spark):
     assert len(rows) == 1 and rows[0].provider_group_id is None
 
 
-def test_provider_side_is_broadcast(spark):
-    b, p, i = _edge_tables(spark)
+def _as_files(spark, tmp_dir, *tables):
+    """The tables as Parquet files, whose sizes the plan's statistics know."""
+    out = []
+    for n, df in enumerate(tables):
+        df.write.parquet(f"{tmp_dir}/{n}")
+        out.append(spark.read.schema(df.schema).parquet(f"{tmp_dir}/{n}"))
+    return out
+
+
+def test_provider_side_is_broadcast(spark, tmp_dir):
+    b, p, i = _as_files(spark, tmp_dir, *_edge_tables(spark))
     plan = flatten_rates(b, p, i)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "RightOuter" in plan
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
-def test_no_broadcast_beyond_limit(spark):
-    b, p, i = _edge_tables(spark)
-    spark.conf.set("pricelens.broadcast.maxRows", "2")
+def test_no_broadcast_beyond_limit(spark, tmp_dir):
+    b, p, i = _as_files(spark, tmp_dir, *_edge_tables(spark))
+    spark.conf.set("pricelens.broadcast.maxBytes", "2")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
@@ -110,7 +119,7 @@ def test_no_broadcast_beyond_limit(spark):
         assert joins and not any("BroadcastHashJoin" in ln for ln in joins)
         assert out.count() == 9
     finally:
-        spark.conf.unset("pricelens.broadcast.maxRows")
+        spark.conf.unset("pricelens.broadcast.maxBytes")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
 
@@ -142,23 +151,27 @@ def test_slim_schema_reaches_the_scan(spark, tmp_dir):
     assert "negotiated_prices" in plan
 
 
-def test_npi_bound_counts_npis_not_providers(spark):
-    """One provider row with 5 npis and a bound of 3 rows: the npi side is not broadcast."""
-    b = base_rows(spark)
-    p = providers(spark, [("d1", 1, "https://a/1", [([11, 12, 13, 14, 15], ("ein", "1"))])])
-    i = in_network(spark, [item("00100", [rate([price(1.0)], [1])])])
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("pricelens.broadcast.maxRows", "3")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+def test_wide_provider_groups_are_not_broadcast(spark, tmp_dir):
+    """Few provider rows with many npis: the (group, npi) rows go beyond a bound that the
+    providers alone keep, and deciding that runs no job."""
+    groups = [([k * 10_000 + n for n in range(2000)], ("ein", str(k))) for k in range(20)]
+    b, p, i = _as_files(spark, tmp_dir, base_rows(spark), providers(spark, [("d1", k, "https://a", [groups[k]]) for k in range(20)]),
+                        in_network(spark, [item("00100", [rate([price(1.0)], [1, 2])])]))
+    off = {"pricelens.broadcast.maxBytes": str(4 << 20), "spark.sql.autoBroadcastJoinThreshold": "-1",
+           "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in off}
+    for k, v in off.items():
+        spark.conf.set(k, v)
+    spark.sparkContext.setJobGroup("decide", "no job may run here")
     try:
-        out = flatten_npi_rates(b, p, i)
-        plan = out._jdf.queryExecution().executedPlan().toString()
-        inner = [ln for ln in plan.splitlines() if "Inner" in ln and "npi" not in ln.split("[")[0]]
-        assert not any("BroadcastHashJoin" in ln and "provider_references" in ln for ln in plan.splitlines())
-        assert any("SortMergeJoin" in ln or "ShuffledHashJoin" in ln for ln in inner)
-        assert out.count() == 5
+        rates, npis = flatten_rates(b, p, i), flatten_npi_rates(b, p, i)
+        plans = [df._jdf.queryExecution().executedPlan().toString() for df in (rates, npis)]
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("decide")
+        joins = [[ln for ln in plan.splitlines() if kind in ln and "Join" in ln] for plan, kind in zip(plans, ("RightOuter", "provider_group_id"))]
+        assert joins[0] and all("BroadcastHashJoin" in ln for ln in joins[0])
+        assert joins[1] and all("SortMergeJoin" in ln or "ShuffledHashJoin" in ln for ln in joins[1])
+        assert npis.count() == 4000
     finally:
-        spark.conf.unset("pricelens.broadcast.maxRows")
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -35,7 +35,7 @@ def _restore(spark, old):
 
 def test_hot_reference_is_split_by_aqe(spark):
     old = _set(spark, {
-        "pricelens.broadcast.maxRows": "0",
+        "pricelens.broadcast.maxBytes": "0",
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
@@ -60,7 +60,11 @@ def test_hot_code_is_written_by_several_tasks(spark, tmp_dir):
     old = _set(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
                        "spark.sql.adaptive.coalescePartitions.enabled": "true"})
     try:
-        b, p, i = _hot_tables(spark)
+        tables = []
+        for n, df in enumerate(_hot_tables(spark)):  # as files, whose sizes let the providers be broadcast
+            df.write.parquet(f"{tmp_dir}/{n}")
+            tables.append(spark.read.schema(df.schema).parquet(f"{tmp_dir}/{n}"))
+        b, p, i = tables
         path = f"{tmp_dir}/rates"
         layout.write_partitions(flatten_rates(b, p, i), path)
         hot_files = glob.glob(f"{path}/billing_code=00001/*.parquet")
