@@ -375,6 +375,7 @@ WHERE er.ref NOT IN (SELECT provider_group_id FROM prov)"""),
     "extract_base": _with(_EXTRACT_BASE),
     "extract_providers": _with(_EXTRACT_PROVIDERS),
     "extract_in_network": _with(_EXTRACT_ITEMS),
+    "extract_in_network_source": _with(_EXTRACT_ITEMS),
     "extract_base_stream": _with(_EXTRACT_BASE),
     "extract_providers_stream": _with(_EXTRACT_PROVIDERS),
     "extract_in_network_stream": _with(_EXTRACT_ITEMS),

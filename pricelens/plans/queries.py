@@ -378,6 +378,11 @@ def q_extract_in_network_stream(spark, sf_dir):
     return _items_out(_extracted(spark, sf_dir, "stream")[2])
 
 
+def q_extract_in_network_source(spark, sf_dir):
+    """X4 from the Python data source, with its filter on the table pushed down."""
+    return _items_out(_extracted(spark, sf_dir, "direct")[2])
+
+
 def q_extracted_flatten_rates(spark, sf_dir):
     """Q1 then Q2: rates flattened from the raw documents (stream reader). Each
     document joins its own provider list."""
@@ -508,6 +513,7 @@ SPARK_QUERIES = {
     "extract_base_stream": q_extract_base_stream,
     "extract_providers_stream": q_extract_providers_stream,
     "extract_in_network_stream": q_extract_in_network_stream,
+    "extract_in_network_source": q_extract_in_network_source,
     "extracted_flatten_rates": q_extracted_flatten_rates,
     "preprocess_multiline": q_preprocess_multiline,
     "preprocess_stream": q_preprocess_stream,

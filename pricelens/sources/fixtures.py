@@ -220,6 +220,36 @@ def write_fixture_documents(spark: SparkSession, sf_dir: str, path: str, faults:
     return path
 
 
+def write_large_document(spark: SparkSession, sf_dir: str, path: str, copies: int = 5) -> int:
+    """The fixture as one uncompressed rate document, ``path/part-*.txt``, of many small items: each
+    rate element is an item of its own, ``copies`` times over. Returns the number of items.
+
+    Lines are written in order by one task, as a document is one file."""
+    items = fixture_in_network(spark, sf_dir).select(
+        *[f.name for f in IN_NETWORK_TABLE.fields if f.name not in (DOC_KEY, "negotiated_rates")],
+        F.explode("negotiated_rates").alias("rate"), F.explode(F.sequence(F.lit(1), F.lit(copies))).alias("copy"))
+    item = F.struct(*[F.array("rate").alias(f.name) if f.name == "negotiated_rates" else F.col(f.name)
+                      for f in IN_NETWORK_TABLE.fields if f.name != DOC_KEY])
+    provider = F.struct("provider_group_id", "location", "provider_groups")
+    header = F.regexp_replace(F.to_json(F.struct(*BASE_FIELDS)), r"\}$", "")
+
+    def section(df: DataFrame, number: int, text: Column) -> DataFrame:
+        return df.select(F.lit(number).alias("section"), text.alias("value"))
+
+    def elements(df: DataFrame, number: int, value: Column) -> DataFrame:
+        return section(df, number, F.concat(F.to_json(value), F.lit(",")))
+
+    base = fixture_base(spark, sf_dir)
+    last = F.to_json(F.struct(F.lit("last").alias("billing_code")))
+    lines = section(base, 0, F.concat(header, F.lit(',"provider_references":[')))
+    lines = lines.unionByName(elements(fixture_providers(spark, sf_dir), 1, provider))
+    lines = lines.unionByName(section(base, 2, F.lit('{}],"in_network":[')))
+    lines = lines.unionByName(elements(items, 3, item))
+    lines = lines.unionByName(section(base, 4, F.concat(last, F.lit("]}"))))
+    lines.repartition(1).sortWithinPartitions("section").select("value").write.text(path)
+    return items.count() + 1
+
+
 def dirty_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The fixture with contract violations planted by data attributes:
 
