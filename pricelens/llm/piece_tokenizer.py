@@ -156,7 +156,7 @@ def build_tokenizer(data: bytes):
     if m.charsmap:
         steps.append(normalizers.Precompiled(m.charsmap))
     if m.trim_spaces:
-        steps += [normalizers.Replace(Regex("^ +| +$"), ""), normalizers.Replace(Regex(" {2,}"), " ")]
+        steps += [normalizers.Replace(Regex(r"\A +| +\z"), ""), normalizers.Replace(Regex(" {2,}"), " ")]
     if m.dummy_prefix:
         steps.append(normalizers.Prepend(MARK))
     steps.append(normalizers.Replace(" ", MARK))
@@ -203,7 +203,7 @@ class Encoder:
     as its words do, one by one. Such texts are split, each distinct word of a slice is
     encoded once (joined to long texts again, so that the library encodes few long strings),
     and the ids are put together; the first ``MAX_WORDS`` words stay known to later slices.
-    All other texts are encoded whole.
+    All other texts are encoded whole. Every text's ids are decoded whole.
     """
 
     def __init__(self, data: bytes, threads: int, verify: bool):
@@ -219,7 +219,6 @@ class Encoder:
         self.by_words = m.dummy_prefix and not m.charsmap and m.byte_fallback and not any(
             MARK in p.lstrip(MARK) or kind == USER for p, _, kind in m.pieces)
         self.words: dict[str, bytes] = {}
-        self.bad_trip: set[str] = set()
         self.bad_parity: set[str] = set()
 
     def whole(self, texts: list[str]) -> list[tuple[bytes, bool | None, bool | None]]:
@@ -240,10 +239,8 @@ class Encoder:
             i = np.frombuffer(ids, "<i4")
             starts = np.flatnonzero(self.marked[i])
             if len(starts) != len(words) or trip is False or same is False:
-                for w, (one, t, p) in zip(words, self.whole(words), strict=True):  # find the words at fault
+                for w, (one, _, p) in zip(words, self.whole(words), strict=True):  # find the words at fault
                     self.words[w] = one
-                    if t is False:
-                        self.bad_trip.add(w)
                     if p is False:
                         self.bad_parity.add(w)
                 continue
@@ -263,13 +260,13 @@ class Encoder:
         self.learn(list(new))
         known = self.words
         for n, words in split.items():
-            out[n] = (b"".join([known[w] for w in words]),
-                      not self.bad_trip or self.bad_trip.isdisjoint(words),
+            ids = b"".join([known[w] for w in words])
+            back = self.tok.decode(np.frombuffer(ids, "<i4").tolist(), skip_special_tokens=False)
+            out[n] = (ids, back == texts[n],
                       None if self.sp is None else not self.bad_parity or self.bad_parity.isdisjoint(words))
         if len(known) > MAX_WORDS:  # the frequent words came first; forget this slice's
             for w in new:
                 del known[w]
-            self.bad_trip -= new
             self.bad_parity -= new
         for n, found in zip(rest, self.whole([texts[n] for n in rest]), strict=True):
             out[n] = found
@@ -285,8 +282,8 @@ def encode(docs: DataFrame, model: bytes, text: str = "text", extra: tuple[str,
 
     ``ids_sha256`` digests the ids as little-endian 32-bit integers. ``round_trip``: the
     decoded ids are the text that the normaliser leaves (null if it rewrites characters).
-    ``parity``: the sentencepiece library gives the same ids (null without ``verify``). Both are
-    word checks for texts that are split into words: they hold if they hold for each word.
+    ``parity``: the sentencepiece library gives the same ids (null without ``verify``); for texts
+    that are split into words it is a check of words: it holds if it holds for each word.
     Names of ``extra`` that clash with the added columns are refused.
     """
     added = [c.split()[0] for c in ADDED.split(", ") if with_ids or not c.startswith("ids ")]
