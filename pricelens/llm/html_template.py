@@ -7,9 +7,10 @@
 3. Template subtrees are deleted, on every page.
 4. Tag rules refine the rest: elements whose tag, role or class says menu, header, footer,
    sidebar, notice, advert, form or reader comment are deleted as well, which is all that can
-   be done on hosts with too few pages to count. Only whole names in a class or id say so, and
-   never those of ``article``, ``main`` or what holds the page's main prose. Text outside the
-   article goes if the article holds at least half of what is left.
+   be done on hosts with too few pages to count. Whole names in a class or id say so, or names put
+   together of such words and words for boxes and places (``comment-list``, ``site-footer``), and
+   never those of ``article`` or ``main``; what holds the page's main prose is spared from class,
+   id, role and ``form``. Text outside the article goes if any of the article's is left.
 
 The article is the outermost ``article`` elements, else ``main``, else the page. Paragraphs
 and headings inside it (on pages without such elements: inside the element with most
@@ -19,6 +20,7 @@ on many pages, too. Pages of a host that show the same text in the same subtrees
 Scale: pages are parsed twice. The first pass writes each distinct page's hashes to the shared
 checkpoint folder; (page, hash) rows meet the counts, pre-aggregated, in an equi-join. The
 second pass shuffles every page's compressed blocks, never the markup, to meet what was found.
+Memory is linear in a page: blocks share the chains of subtrees that hold them.
 A host with a third of all pages is a pre-aggregated key like any other, and the joins are
 equi-joins that adaptive execution splits.
 
@@ -55,7 +57,7 @@ BLOCK = frozenset(
 PROSE = frozenset("blockquote dd dl dt figcaption h1 h2 h3 h4 h5 h6 li ol p pre table tbody td th thead tr ul".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 DROP_TAGS = frozenset(
-    "aside button canvas datalist dialog embed footer form head iframe input link menu meta nav noscript object script "
+    "aside button canvas datalist dialog embed footer form head iframe input link menu meta nav noscript object script search "
     "select style svg template textarea title".split())
 UNSEEN = frozenset("canvas datalist embed head iframe noembed noframes noscript object script style svg template title".split())
 DROP_ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search".split())
@@ -63,6 +65,10 @@ DROP_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies "
     "disqus footer masthead menu modal nav navbar navigation newsletter notice notices popup promo promotion related "
     "respond share sharing sidebar social sponsor sponsored subscribe toolbar".split())
+BOX_WORDS = frozenset(
+    "area bar block box button buttons container content form group holder icons inner item items links list panel post posts row "
+    "section signup slot thread unit widget wrap wrapper".split())
+PLACE_WORDS = frozenset("article bottom global left main page post primary reader right secondary site top user".split())
 UNNAMED = frozenset("article body html main".split())  # never dropped by class or id
 CLOSES = {  # an opening tag ends these open elements, up to the nearest listed boundary
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -77,24 +83,35 @@ TOKEN = re.compile(
 ATTR = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 
 
+def names_page_part(words: str) -> bool:
+    """Whether a class or id names a page part: a word for one, alone or with words for boxes and places."""
+    for name in words.split():
+        parts = set(re.split("[-_]+", name.strip("-_")))
+        if not DROP_WORDS.isdisjoint(parts) and parts <= DROP_WORDS | BOX_WORDS | PLACE_WORDS:
+            return True
+    return False
+
+
 class Node:
-    __slots__ = ("tag", "parent", "kids", "drop", "words", "digest", "named", "own_p", "size")
+    __slots__ = ("tag", "parent", "kids", "drop", "words", "digest", "named", "own_p", "size", "hard", "gone")
 
     def __init__(self, tag: str, parent: Node | None, attrs: str):
         self.tag, self.parent, self.kids, self.words = tag, parent, [], ""
         self.digest = self.own_p = self.size = 0
-        self.named = False  # a page part by its class or id alone
         self.drop = tag in DROP_TAGS
+        self.named = tag == "form"  # a page part by class, id or role alone, or a form: spared around the main prose
+        self.hard = self.gone = False  # inside something dropped: for good, or in any way
         if attrs and not attrs.isspace():
             a = {}
             for m in ATTR.finditer(attrs):
                 a.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
             self.words = f"{a.get('id', '')} {a.get('class', '')}".strip().lower()
             style = a.get("style", "").replace(" ", "").lower()
-            self.drop = (
-                self.drop or "hidden" in a or a.get("aria-hidden", "").lower() == "true" or "display:none" in style
-                or a.get("role", "").lower() in DROP_ROLES)
-            if not self.drop and tag not in UNNAMED and not DROP_WORDS.isdisjoint(self.words.split()):
+            if "hidden" in a or a.get("aria-hidden", "").lower() == "true" or "display:none" in style:
+                self.drop, self.named = True, False
+            elif not self.drop and (a.get("role", "").lower() in DROP_ROLES
+                                    or tag not in UNNAMED and tag not in HEADINGS and names_page_part(self.words)
+                                    or tag not in UNNAMED and not DROP_WORDS.isdisjoint(self.words.split())):
                 self.drop = self.named = True
 
 
@@ -178,43 +195,48 @@ def _hash_subtrees(order: list[Node]) -> None:
         n.digest = xxhash.xxh3_64_intdigest("\x00".join(own).encode("utf-8", "replace")) - (1 << 63)
 
 
-def _in_dropped(n: Node | None, named: bool = True) -> bool:
-    while n is not None:
-        if n.drop and (named or not n.named):
-            return True
-        n = n.parent
-    return False
+def _mark_dropped(order: list[Node]) -> None:
+    for n in reversed(order):  # parents come before their kids
+        up = n.parent
+        n.hard = n.drop and not n.named or up is not None and up.hard
+        n.gone = n.drop or up is not None and up.gone
 
 
 def _spare_main_prose(order: list[Node]) -> None:
-    """No class or id drops what holds the main prose.
+    """No class, id, role or form drops what holds the main prose.
 
     The main prose is the longest ``article`` or ``main`` if all of them are inside elements
     dropped by name. Else it is the element with most paragraph text of its own; one inside such
     an element only counts with ``FAR_MORE`` times as much as any outside, as comments may be long.
     """
-    alive = [n for n in order if not _in_dropped(n, named=False)]
+    _mark_dropped(order)
+    alive = [n for n in order if not n.hard]
     marked = [n for n in alive if n.tag in ("article", "main")]
-    if marked and all(_in_dropped(n) for n in marked):
+    if marked and all(n.gone for n in marked):
         prose = max(marked, key=lambda n: n.size)
     else:
         dense = [n for n in alive if n.own_p and n.tag != "p"]
-        prose = max(dense, key=lambda n: n.own_p if _in_dropped(n) else FAR_MORE * n.own_p, default=None)
+        prose = max(dense, key=lambda n: n.own_p if n.gone else FAR_MORE * n.own_p, default=None)
     while prose is not None:
         if prose.named:
             prose.drop = prose.named = False
         prose = prose.parent
+    _mark_dropped(order)
 
 
 def _zones(order: list[Node]) -> tuple[list[Node], list[Node]]:
     """(elements that hold the article's text, elements whose prose no template may delete)."""
     for tag in ("article", "main"):
-        found = [n for n in order if n.tag == tag and not _in_dropped(n)]
-        if found:
-            inside = {id(n) for n in found}
-            outer = [n for n in found if not any(id(p) in inside for p in _above(n))]
+        outer, inside = [], set()
+        for n in reversed(order):
+            if n.parent is not None and id(n.parent) in inside:
+                inside.add(id(n))
+            elif n.tag == tag and not n.gone:
+                inside.add(id(n))
+                outer.append(n)
+        if outer:
             return outer, outer
-    dense = max((n for n in order if n.own_p and n.tag != "p" and not _in_dropped(n)), key=lambda n: n.own_p, default=None)
+    dense = max((n for n in order if n.own_p and n.tag != "p" and not n.gone), key=lambda n: n.own_p, default=None)
     return order[-1:], [dense] if dense is not None else []
 
 
@@ -234,30 +256,41 @@ def _sound(text: str) -> str:
     return text.encode("utf-8", "replace").decode("utf-8")
 
 
-def page_blocks(html: str | None) -> tuple[list[tuple[str, list[int], int]], list[int]]:
-    """(all blocks of text a page shows, hashes of all countable subtrees).
+Blocks = list[tuple[str, int, int]]
+Chains = list[tuple[int, int]]
+
+
+def page_blocks(html: str | None) -> tuple[Blocks, Chains, list[int]]:
+    """(all blocks of text a page shows, chains, hashes of all countable subtrees).
 
-    A block is (text, positions of the hashes of the subtrees that may delete it, rule): ``BY_TAG``
-    if its tag, role or class is that of a page part, ``OUTSIDE`` if it lies outside the article.
+    A block is (text, chain, rule): ``BY_TAG`` if its tag, role or class is that of a page part,
+    ``OUTSIDE`` if it lies outside the article. Its chain (-1: none) leads through the subtrees that
+    may delete it, from the innermost out: (position of the subtree's hash, next chain).
     """
     if not html:
-        return [], []
+        return [], [], []
     root = parse(html)
     order = _post_order(root)
     _hash_subtrees(order)
     _spare_main_prose(order)
     zones, guarded = _zones(order)
     guard_ids = {id(z) for z in guarded}
-    holds = {id(p) for z in guarded for p in _above(z)} | guard_ids
-    blocks: list[tuple[str, list[int], int]] = []
+    holds = set(guard_ids)
+    for z in guarded:
+        for p in _above(z):
+            if id(p) in holds:
+                break
+            holds.add(id(p))
+    blocks: Blocks = []
     marks: dict[int, int] = {}
     text: dict[int, list[str]] = {}
-    chain: list[int] = []
+    chains: Chains = []
+    chain = -1
 
     def flush():
         for rule in sorted(text):
             if line := _sound(" ".join("".join(text[rule]).split())):
-                blocks.append((line, list(chain), rule))
+                blocks.append((line, chain, rule))
         text.clear()
 
     # Frames: (node, inside the article, emits text, inside the article's own header, next kid, prose is guarded)
@@ -272,7 +305,7 @@ def page_blocks(html: str | None) -> tuple[list[tuple[str, list[int], int]], lis
             if n.tag in BLOCK:
                 flush()
             if counted.pop():
-                chain.pop()
+                chain = chains[chain][1]
             continue
         frame[4] += 1
         k = n.kids[at]
@@ -294,39 +327,43 @@ def page_blocks(html: str | None) -> tuple[list[tuple[str, list[int], int]], lis
             countable = k.tag not in PROSE and not any(
                 type(x) is Node and (x.tag in PROSE or x.tag == "div") for x in k.kids)
         if countable and k.kids:
-            chain.append(marks.setdefault(k.digest, len(marks)))
+            chains.append((marks.setdefault(k.digest, len(marks)), chain))
+            chain = len(chains) - 1
         counted.append(bool(countable and k.kids))
         own_header = k.tag == "header" and (guard or id(n) in guard_ids)
         gone = k.drop or (k.tag == "header" and not own_header)
         stack.append([k, in_zone, emits and not gone, header or own_header, 0, guard or id(k) in guard_ids])
     flush()
-    return blocks, list(marks)
+    return blocks, chains, list(marks)
 
 
-def pieces(html: str | None) -> tuple[list[tuple[str, list[int]]], list[int]]:
-    """(blocks that the tag rules leave, with the hashes of the subtrees that may delete them, hashes of all countable subtrees)."""
-    blocks, marks = page_blocks(html)
-    return [(t, [marks[i] for i in d]) for t, d, rule in blocks if rule == KEPT], marks
+def pieces(html: str | None) -> tuple[list[tuple[str, int]], list[int]]:
+    """(blocks that the tag rules leave, with their chains, hashes of all countable subtrees)."""
+    blocks, _, marks = page_blocks(html)
+    return [(t, c) for t, c, rule in blocks if rule == KEPT], marks
 
 
-def article(blocks: list[tuple[str, list[int], int]], found: set[int]) -> tuple[str, int, int]:
+def article(blocks: Blocks, chains: Chains, found: set[int]) -> tuple[str, int, int]:
     """(text, characters deleted by templates, characters deleted by tag rules) of a page's blocks.
 
     The templates go first. Of what they leave, the tag rules drop the page parts, and the text
-    outside the article if the article holds at least half of the text then left.
+    outside the article if any of the article's is left.
     """
-    left = [(t, rule) for t, d, rule in blocks if found.isdisjoint(d)]
+    deleted: list[bool] = []
+    for mark, up in chains:  # a chain comes after the one it leads to
+        deleted.append(mark in found or up >= 0 and deleted[up])
+    left = [(t, rule) for t, c, rule in blocks if c < 0 or not deleted[c]]
     size = [sum(len(t) for t, rule in left if rule == r) for r in (KEPT, BY_TAG, OUTSIDE)]
-    rules = (KEPT,) if size[KEPT] >= size[OUTSIDE] else (KEPT, OUTSIDE)
+    rules = (KEPT,) if size[KEPT] else (KEPT, OUTSIDE)
     by_rule = sum(size) - sum(size[r] for r in rules)
     by_template = sum(len(b[0]) for b in blocks) - sum(size)
     return "\n".join(t for t, rule in left if rule in rules), by_template, by_rule
 
 
-def _key(host: str, blocks: list, marks: list[int]) -> tuple[bytes, bytes]:
-    """(digest of the host and all that decides the page's text, the blocks packed)."""
-    packed = json.dumps([blocks, marks], ensure_ascii=False, separators=(",", ":")).encode("utf-8")
-    return xxhash.xxh3_128_digest(host.encode("utf-8", "replace") + b"\x00" + packed), packed
+def _key(host: str, blocks: Blocks, chains: Chains, marks: list[int]) -> bytes:
+    """A digest of the host and all that decides the page's text."""
+    packed = json.dumps([blocks, chains, marks], ensure_ascii=False, separators=(",", ":")).encode("utf-8")
+    return xxhash.xxh3_128_digest(host.encode("utf-8", "replace") + b"\x00" + packed)
 
 
 def _source(pages: DataFrame) -> DataFrame:
@@ -340,8 +377,8 @@ def distinct_pages(pages: DataFrame) -> DataFrame:
     def run(batch: pa.RecordBatch):
         keys, found = [], []
         for host, html in zip(batch.column(2).to_pylist(), batch.column(3), strict=True):
-            blocks, marks = page_blocks(html.as_py())
-            keys.append(_key(host, blocks, marks)[0])
+            blocks, chains, marks = page_blocks(html.as_py())
+            keys.append(_key(host, blocks, chains, marks))
             seed = xxhash.xxh3_64_intdigest(host.encode("utf-8", "replace"))
             found.append([xxhash.xxh3_64_intdigest(m.to_bytes(8, "little", signed=True), seed) - (1 << 63) for m in marks])
         yield pa.RecordBatch.from_arrays(
@@ -360,10 +397,10 @@ def packed_pages(pages: DataFrame) -> DataFrame:
             part = batch.slice(lo, 500)
             keys, packs = [], []
             for host, html in zip(part.column(2).to_pylist(), part.column(3), strict=True):
-                blocks, marks = page_blocks(html.as_py())
-                keys.append(_key(host, blocks, marks)[0])
+                blocks, chains, marks = page_blocks(html.as_py())
+                keys.append(_key(host, blocks, chains, marks))
                 packs.append(squeeze.compress(json.dumps(
-                    blocks, ensure_ascii=False, separators=(",", ":")).encode("utf-8", "replace")))
+                    [blocks, chains], ensure_ascii=False, separators=(",", ":")).encode("utf-8", "replace")))
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), part.column(1), pa.array(keys, pa.binary()), pa.array(packs, pa.binary())],
                 names=["page_id", "url", "page", "packed"])
@@ -392,7 +429,7 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     def run(batch: pa.RecordBatch):
         swell = zstandard.ZstdDecompressor()
         hits = batch.column(3).to_pylist()
-        done = [article(json.loads(swell.decompress(p.as_py())), set(f or ())) for p, f in zip(batch.column(2), hits, strict=True)]
+        done = [article(*json.loads(swell.decompress(p.as_py())), set(f or ())) for p, f in zip(batch.column(2), hits, strict=True)]
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array([d[0] for d in done], pa.string()),
              pa.array([len(d[0]) for d in done], pa.int64()), pa.array([len(f or ()) for f in hits], pa.int32()),
