@@ -203,7 +203,8 @@ class Encoder:
     as its words do, one by one. Such texts are split, each distinct word of a slice is
     encoded once (joined to long texts again, so that the library encodes few long strings),
     and the ids are put together; the first ``MAX_WORDS`` words stay known to later slices.
-    All other texts are encoded whole. Every text's ids are decoded whole.
+    All other texts are encoded whole. Every text's ids are decoded whole: of split texts piece by
+    piece, of the others by the library.
     """
 
     def __init__(self, data: bytes, threads: int, verify: bool):
@@ -218,6 +219,7 @@ class Encoder:
         self.marked = np.array([p.startswith(MARK) for p, _, _ in m.pieces])
         self.by_words = m.dummy_prefix and not m.charsmap and m.byte_fallback and not any(
             MARK in p.lstrip(MARK) or kind == USER for p, _, kind in m.pieces)
+        self.bytes_of = [bytes([int(p[3:5], 16)]) if kind == BYTE else p.replace(MARK, " ").encode() for p, _, kind in m.pieces]
         self.words: dict[str, bytes] = {}
         self.bad_parity: set[str] = set()
 
@@ -261,8 +263,8 @@ class Encoder:
         known = self.words
         for n, words in split.items():
             ids = b"".join([known[w] for w in words])
-            back = self.tok.decode(np.frombuffer(ids, "<i4").tolist(), skip_special_tokens=False)
-            out[n] = (ids, back == texts[n],
+            back = b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<i4").tolist()))
+            out[n] = (ids, back == b" " + texts[n].encode(),  # the space put in front
                       None if self.sp is None else not self.bad_parity or self.bad_parity.isdisjoint(words))
         if len(known) > MAX_WORDS:  # the frequent words came first; forget this slice's
             for w in new:
