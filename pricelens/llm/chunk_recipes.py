@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from pricelens.llm.common import written
+from pricelens.llm.common import free_name, written
 
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 # A chunk ends after the first punctuation mark past MIN characters, or at MAX characters.
@@ -111,14 +111,10 @@ def drop_exact_copies(docs: DataFrame) -> DataFrame:
     rows that agree in both, one stays.
     """
     names = docs.columns
-    key = "__text_key"
-    while key in names:
-        key += "_"
+    key, n, kept_id, kept_key = (free_name(docs, x) for x in ("__text_key", "__n", "__kept_id", "__kept_key"))
     keyed = docs.withColumn(key, F.sha2(normalised(F.col("text")), 256))
-    kept = exact_groups(docs).filter("kept").select(
-        F.col("doc_id").alias("__kept_id"), F.col("text_sha256").alias("__kept_key"))
-    hits = keyed.join(
-        kept, keyed["doc_id"].eqNullSafe(kept["__kept_id"]) & (keyed[key] == kept["__kept_key"]), "left_semi")
+    kept = exact_groups(docs).filter("kept").select(F.col("doc_id").alias(kept_id), F.col("text_sha256").alias(kept_key))
+    hits = keyed.join(kept, F.col("doc_id").eqNullSafe(F.col(kept_id)) & (F.col(key) == F.col(kept_key)), "left_semi")
     # Repeated rows: rows of one doc_id with equal texts, longest original first.
     one = Window.partitionBy("doc_id", key).orderBy(F.length("text").desc(), F.col("text"))
-    return hits.withColumn("__n", F.row_number().over(one)).filter("__n = 1").select(*names)
+    return hits.withColumn(n, F.row_number().over(one)).filter(F.col(n) == 1).select(*names)

@@ -8,15 +8,17 @@ coordination. Documents are exploded by their counts and the copies are shuffled
 by a hashed key.
 
 Scale: the only table that meets the documents is one row per source, with its cumulative
-distribution. It is broadcast if it is checked to be small (``MAX_BROADCAST_SOURCES``);
+distribution; it is written once, so the documents are read twice, for the sources' sizes and
+to be replicated. It is broadcast if it is checked to be small (``MAX_BROADCAST_SOURCES``);
 beyond that the documents are salted before the join, so a source with a third of all rows
-is spread over ``SALTS`` join keys. The global shuffle is a range exchange on a uniform
-hash, so no source or document group can make a hot partition.
+is spread over ``SALTS`` join keys. The global shuffle deals copies by a uniform hash and sorts
+them by it inside each partition, so no source can make a hot partition.
 
 Defined cases: a null source is a source of its own; a null doc_id or text hashes as the
 empty string; repeated rows get equal counts, each replicated by itself; empty texts weigh
 one character, so every document counts. Rates of 0 give no copies; if no source has a weight there is no output. Extra columns are
-carried along; ``copy`` and ``mix_key`` are added.
+carried along; the columns ``copy`` and ``mix_key`` are added under the names given, and an input
+column of such a name is replaced.
 """
 
 from __future__ import annotations
@@ -24,6 +26,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pricelens.llm.common import free_name, written
+
 MAX_BROADCAST_SOURCES = 20_000  # rows of about 1 KB each
 SALTS = 64
 HASH_DIGITS = 13  # 52 bits: every value is an exact double
@@ -44,7 +48,7 @@ def source_rates(docs: DataFrame, temperature: float = 0.5, weights: dict[str, f
     characters follow the weights and sum to ``mean_rate`` times the input's.
     """
     chars = F.greatest(F.length(F.coalesce("text", F.lit(""))), F.lit(1)).cast("long")
-    stats = docs.groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"), F.sum(chars).alias("n_chars"))
+    stats = written(docs.groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"), F.sum(chars).alias("n_chars")), "sources")
     if weights is None:
         weight = F.pow(F.col("n_chars").cast("double"), F.lit(float(temperature)))
     else:
@@ -78,29 +82,29 @@ def poisson_cdf(rate: Column) -> Column:
     return F.when(rate > 0, cdf).otherwise(F.array(F.lit(1.0)))
 
 
-def replicate(docs: DataFrame, rates: DataFrame, seed: int = 42) -> DataFrame:
-    """``docs`` with ``copy`` (1, 2, ...) and ``mix_key``: every document as often as its count says."""
-    table = rates.select(F.col("source").alias("__source"), poisson_cdf(F.col("rate")).alias("__cdf"))
-    docs = docs.withColumn("__text", F.md5(F.coalesce("text", F.lit(""))))
-    u = uniform(F.lit(seed), F.lit("count"), F.col("doc_id"), F.col("__text"))
+def replicate(docs: DataFrame, rates: DataFrame, seed: int = 42, copy: str = "copy", key: str = "mix_key") -> DataFrame:
+    """``docs`` with ``copy`` (1, 2, ...) and ``key``: every document as often as its count says."""
+    docs = docs.drop(copy, key)
+    text, source, cdf, salt, own_salt = (free_name(docs, x) for x in ("__text", "__source", "__cdf", "__salt", "__own_salt"))
+    table = rates.select(F.col("source").alias(source), poisson_cdf(F.col("rate")).alias(cdf))
+    left = docs.withColumn(text, F.md5(F.coalesce("text", F.lit(""))))
+    same = F.col("source").eqNullSafe(F.col(source))
     if len(rates.select("source").take(MAX_BROADCAST_SOURCES + 1)) <= MAX_BROADCAST_SOURCES:
-        joined = docs.join(F.broadcast(table), F.col("source").eqNullSafe(F.col("__source")))
+        joined = left.join(F.broadcast(table), same)
     else:
-        salted = table.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        left = docs.withColumn("__s", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
-        joined = left.join(
-            salted, F.col("source").eqNullSafe(F.col("__source")) & (F.col("__s") == F.col("__salt"))
-        ).drop("__s", "__salt")
-    count = F.size(F.filter("__cdf", lambda c: c <= u))
+        salted = table.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        left = left.withColumn(own_salt, F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+        joined = left.join(salted, same & (F.col(own_salt) == F.col(salt)))
+    u = uniform(F.lit(seed), F.lit("count"), F.col("doc_id"), F.col(text))
+    count = F.size(F.filter(cdf, lambda c: c <= u))
     copies = F.when(count > 0, F.sequence(F.lit(1), count)).otherwise(F.array().cast("array<int>"))
-    out = joined.withColumn("copy", F.explode(copies)).drop("__source", "__cdf")
-    key = F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit("order"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
-                            F.col("__text"), F.col("copy").cast("string")))
-    return out.withColumn("mix_key", key).drop("__text")
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit("order"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
+                               F.col(text), F.col(copy).cast("string")))
+    return joined.withColumn(copy, F.explode(copies)).select(*docs.columns, copy, digest.alias(key))
 
 
 def mix(docs: DataFrame, temperature: float = 0.5, weights: dict[str, float] | None = None,
-        mean_rate: float = 1.0, seed: int = 42) -> DataFrame:
-    """The mixed corpus in its global random order (sorted by ``mix_key`` across partitions)."""
+        mean_rate: float = 1.0, seed: int = 42, copy: str = "copy", key: str = "mix_key") -> DataFrame:
+    """The mixed corpus in a global random order: dealt to partitions by ``key``, sorted by it inside each."""
     rates = source_rates(docs, temperature, weights, mean_rate)
-    return replicate(docs, rates, seed).orderBy("mix_key", "doc_id", "copy")
+    return replicate(docs, rates, seed, copy, key).repartition(F.col(key)).sortWithinPartitions(key, "doc_id", copy)

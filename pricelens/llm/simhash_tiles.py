@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricelens.llm.common import map_batches, written
+from pricelens.llm.common import free_name, map_batches, written
 
 SEED = 42
 SHINGLES_AT_ONCE = 65_536  # bounds the bit matrix of a very long text (4 MB)
@@ -275,9 +275,7 @@ def keep_one_of_each(docs: DataFrame, shingle: int = 3, radius: int = 3) -> Data
     agree in both doc_id and text any one stays.
     """
     names = docs.columns
-    key = "__row_key"
-    while key in names:
-        key += "_"
+    key, kept_key = free_name(docs, "__row_key"), free_name(docs, "__kept_key")
     digest = F.sha2(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce("text", F.lit(""))), 256)
     keyed = docs.withColumn(key, F.unhex(digest))
     prints = written(fingerprints(keyed, shingle, (key,)), "simhash")
@@ -286,5 +284,5 @@ def keep_one_of_each(docs: DataFrame, shingle: int = 3, radius: int = 3) -> Data
     roots = components(links(distinct.select("fp"), radius))
     rooted = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
         "best", F.coalesce("root", "fp").alias("root"))
-    kept = rooted.groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.key").alias("__kept_key"))
-    return keyed.dropDuplicates([key]).join(kept, F.col(key) == F.col("__kept_key"), "left_semi").select(*names)
+    kept = rooted.groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.key").alias(kept_key))
+    return keyed.dropDuplicates([key]).join(kept, F.col(key) == F.col(kept_key), "left_semi").select(*names)

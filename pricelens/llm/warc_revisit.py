@@ -35,6 +35,7 @@ FORBIDDEN = (
     "proxy-authenticate", "proxy-connection", "te", "trailer", "transfer-encoding", "upgrade")
 SLOTS = 64  # at least; more where a slot of the whole table would pass SLOT_ROWS rows
 SLOT_ROWS = 200_000
+QUANTILES = 256  # cuts of the time axis by counts
 
 
 def canonical_url(url: Column) -> Column:
@@ -66,12 +67,24 @@ def weak(tag: Column) -> Column:
 
 
 def _slotted(records: DataFrame, slots: int) -> DataFrame:
-    """Slim records with ``slot``: the time axis of the whole table in equal parts."""
-    span = records.agg(F.min("ts").alias("t0"), F.max("ts").alias("t1"), F.count(F.lit(1)).alias("n")).first()  # one row
-    t0, t1 = span["t0"] or 0, span["t1"] or 0
-    parts = max(slots, -(-span["n"] // SLOT_ROWS))
-    width = max(-(-(t1 - t0 + 1) // parts), 1)
-    return records.withColumn("slot", F.floor((F.col("ts") - F.lit(t0)) / F.lit(width)).cast("int"))
+    """Slim records with ``slot``: the time axis of the whole table cut where equally many records lie
+    between the cuts (``QUANTILES`` at most), and each of these parts into equal times if more are needed."""
+    n = records.filter("ts IS NOT NULL").count()
+    parts = max(slots, -(-n // SLOT_ROWS))
+    cuts = min(parts, QUANTILES)
+    shares = [k / cuts for k in range(cuts)] + [1.0]
+    found = records.agg(F.percentile_approx("ts", shares, 20 * cuts).alias("q")).first()["q"]  # one row
+    edges = sorted(set(found)) if found else [0]
+    inner = -(-parts // len(edges))
+    starts = F.array(*[F.lit(e).cast("long") for e in edges])
+    part = F.greatest(F.size(F.filter(starts, lambda e: e <= F.col("ts"))), F.lit(1))
+    if inner > 1:
+        ends = F.array(*[F.lit(e).cast("long") for e in edges[1:] + [edges[-1] + 1]])
+        low, high = F.element_at(starts, part), F.element_at(ends, part)
+        width = F.greatest(F.ceil((high - low) / F.lit(inner)), F.lit(1))
+        within = F.greatest(F.least(F.floor((F.col("ts") - low) / width), F.lit(inner - 1)), F.lit(0))
+        part = part * F.lit(inner) + within
+    return records.withColumn("slot", F.when(F.col("ts").isNotNull(), part).cast("long"))
 
 
 def resolve(records: DataFrame, slots: int = SLOTS) -> DataFrame:
