@@ -11,7 +11,8 @@ return the columns of ``documents``.
 5. encode: SentencePiece ids of each document.
 
 Null and empty texts, nulls in other columns, repeated rows and empty tables are handled as
-the operators' docstrings say; columns beyond those of ``documents`` are carried to stage 4.
+the operators' docstrings say; columns beyond those of ``documents`` are carried to stage 4, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from pricelens.llm import chunk_recipes, compress_quality, piece_tokenizer, poisson_mix, simhash_tiles
-from pricelens.llm.common import read_table, written
+from pricelens.llm.common import free_name, read_table, written
 
 TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -38,7 +39,8 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return poisson_mix.mix(docs, temperature=0.5).select(*docs.columns)
+    copy, key = free_name(docs, "copy"), free_name(docs, "mix_key")
+    return poisson_mix.mix(docs, temperature=0.5, copy=copy, key=key).select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str, model: str = TOKENIZER) -> DataFrame:
