@@ -1,19 +1,23 @@
 """Toxicity scores from a lexicon matched with misspellings and read in context.
 
 The lexicon is learned: words and stems far more frequent in labelled toxic texts than in
-clean ones, each with the logarithm of that ratio as its weight. It is kept as a trie. Misspelled terms
-are found by running a Levenshtein automaton against the trie: a state is the set of (trie
-node, edits left) that a word's letters so far can reach, computed once per state and letter
-and then a table lookup; most words reach the dead state after three or four letters.
-Variants that clean texts use as words of their own are not misspellings.
-
-Each hit is read in a window of ``CONTEXT`` words: inside quotation marks or beside a word of
-reporting it is a quotation, beside a word of address it is abuse. Sums of the hits' weights
-by kind, and their density, are calibrated by logistic regression.
+clean ones, in each of two halves of the texts, each with the logarithm of that ratio as its weight.
+It is kept as a trie. Misspelled terms are found by running a Levenshtein automaton against the
+trie: a state is the set of (trie node, edits left) that a word's letters so far can reach, computed
+once per state and letter and then a table lookup; most words reach the dead state after three or
+four letters. Variants that clean texts use as words of their own are not misspellings. How much a
+misspelling of a term weighs is fitted by itself: on the variants in each half of the texts that clean
+texts of the other half do not use. Variants need the evidence of a term; a term whose variants lack it
+has no misspellings, and there are none at all if the calibration tells unseen texts no better with them.
+
+Each hit is read in a window of ``CONTEXT`` words: with quotation marks on both sides in the window or
+beside a word of reporting it is a quotation, beside a word of address it is abuse. Sums of the hits'
+weights by kind, and their density, are calibrated by logistic regression.
 
 Scale: fitting reads a bounded sample (``TOXIC_SAMPLE`` and ``CLEAN_SAMPLE`` labelled rows,
-broadcast ids) and keeps at most ``MAX_TERMS`` terms; scoring is one narrow pass over whole
-texts, no shuffle. The automaton's table is bounded by ``MAX_STATES``.
+broadcast ids) and keeps at most ``MAX_TERMS`` terms (those in most toxic texts; the lexicon's
+capacity) and the sample's variants of them; scoring is one narrow pass over whole texts, no
+shuffle. The automaton's table is bounded by ``MAX_STATES`` and begun anew beyond.
 
 Defined cases: a null text counts as empty; texts without words have zero features; without
 labelled rows of one class every row gets the share of label 1 (0.0 without any labels); a
@@ -34,13 +38,15 @@ from pyspark.sql import functions as F
 from pricelens.llm.labelled import apply_logistic, fit_logistic, remainder, sample_labels, training_labels
 
 TOXIC_SAMPLE, CLEAN_SAMPLE = 6000, 12_000
-MAX_TERMS, MAX_VARIANTS, MAX_STATES = 2000, 20_000, 200_000
+MAX_TERMS, MAX_STATES = 2000, 200_000
 STEMS = (4, 5, 6, 7)  # lengths of word beginnings that may be terms, written with a star
 MIN_WEIGHT, MIN_EVIDENCE = 2.5, 24.0  # log ratio, and likelihood ratio statistic, of a term
+HALF_WEIGHT, HALF_EVIDENCE = 1.5, 5.0  # and at least these in each half of the texts
+STEM_OWED = 0.8
 CONTEXT = 6
-MAX_WORD = 40  # longer words are no misspelling of a term
 
 WORD = re.compile(r"\w+(?:[*@$!]\w+)*|[\"“”„«»]")
+QUOTES = frozenset('"“”„«»')
 SPARK_WORD = r"(?U)\w+(?:[*@$!]\w+)*"
 LOOKALIKE = str.maketrans("013457@$!", "oieastasi")  # fixed values: digits and signs written for letters
 # Words of address and of reporting in the languages of the corpus.
@@ -154,8 +160,10 @@ N_FEATURES = 8
 
 
 class Reader:
-    def __init__(self, terms: dict[str, float], ordinary: set[str]):
+    def __init__(self, terms: dict[str, float], ordinary: set[str], near: dict[str, float] | None = None):
+        """``near``: weights of misspellings by term (none: the terms' own)."""
         self.terms, self.ordinary = terms, ordinary
+        self.near = terms if near is None else near
         self.automaton = Automaton({t: w for t, w in terms.items() if t[-1] != "*"})
         self.stems = [n for n in STEMS if any(len(t) == n + 1 and t[-1] == "*" for t in terms)]
 
@@ -166,35 +174,37 @@ class Reader:
         for n in self.stems:
             if len(word) > n and (stem := word[:n] + "*") in self.terms:
                 return stem, 0
-        if len(word) > MAX_WORD or word in self.ordinary:
+        if word in self.ordinary:
             return None
         found = self.automaton.match(word)
         if found is None and not word.isalpha():
             plain = word.translate(LOOKALIKE)
             found = (plain, 1) if plain in self.terms else None
-        return found
+        return found if found and found[0] in self.near else None
+
+    def weight(self, term: str, edits: int) -> float:
+        return self.near[term] / (1 + edits) if edits else self.terms[term]
 
     def hits(self, text: str) -> tuple[list[tuple[str, str, int, bool, bool]], int]:
         """((word, term, edits, quoted, addressed) of each hit, number of words)."""
         tokens = WORD.findall(text.lower())
         found = []
-        hit, quotes = self.hit, None
+        hit = self.hit
         for at, word in enumerate(tokens):
             if (m := hit(word)) is None:
                 continue
-            if quotes is None:  # number of quotation marks before each token
-                quotes = np.cumsum([t in '"“”„«»' for t in tokens])
-            near = tokens[max(0, at - CONTEXT): at + CONTEXT + 1]
-            quoted = bool(quotes[at] % 2 and quotes[-1] > quotes[at]) or not REPORTING.isdisjoint(near)
+            before, after = tokens[max(0, at - CONTEXT): at], tokens[at + 1: at + CONTEXT + 1]
+            near = {*before, *after}
+            quoted = (not QUOTES.isdisjoint(before) and not QUOTES.isdisjoint(after)) or not REPORTING.isdisjoint(near)
             found.append((word, *m, quoted, not ADDRESS.isdisjoint(near)))
         return found, len(tokens)
 
     def features(self, text: str) -> list[float]:
         hits, n = self.hits(text) if text else ([], 0)
         exact = sum(self.terms[t] for _, t, e, q, _ in hits if not e and not q)
-        near = sum(self.terms[t] / (1 + e) for _, t, e, q, _ in hits if e and not q)
-        quoted = sum(self.terms[t] / (1 + e) for _, t, e, q, _ in hits if q)
-        abuse = sum(self.terms[t] / (1 + e) for _, t, e, q, a in hits if a and not q)
+        near = sum(self.weight(t, e) for _, t, e, q, _ in hits if e and not q)
+        quoted = sum(self.weight(t, e) for _, t, e, q, _ in hits if q)
+        abuse = sum(self.weight(t, e) for _, t, e, q, a in hits if a and not q)
         kinds = len({t for _, t, _, q, _ in hits if not q})
         # Misspelled hits share the exact hits' coefficients; the second feature corrects for their precision.
         total = exact + near
@@ -206,7 +216,8 @@ class Reader:
 
 
 def word_counts(rows: DataFrame) -> DataFrame:
-    """(word, toxic, clean): in how many different texts of each class a word occurs.
+    """(word, toxic, clean, toxic_half, clean_half): in how many different texts of each class a word
+    occurs, in all and in one half of the texts.
 
     Stems (the first letters of a word, and "*") count as words. Texts count as different by
     the least hash of their word pairs, so a text's near copies count once or twice and not
@@ -223,7 +234,10 @@ def word_counts(rows: DataFrame) -> DataFrame:
 
     both = F.concat("w", F.flatten(F.transform("w", stems)))
     pairs = listed.select("y", "print", F.explode(F.array_distinct(both)).alias("word")).distinct()
-    return pairs.groupBy("word").agg(F.sum("y").alias("toxic"), F.sum(1 - F.col("y")).alias("clean"))
+    half = F.when(F.pmod(F.xxhash64("print"), F.lit(2)) == 0, 1).otherwise(0)
+    return pairs.groupBy("word").agg(
+        F.sum("y").alias("toxic"), F.sum(1 - F.col("y")).alias("clean"),
+        F.sum(half * F.col("y")).alias("toxic_half"), F.sum(half * (1 - F.col("y"))).alias("clean_half"))
 
 
 def evidence(k: int, n: int, j: int, m: int) -> float:
@@ -256,43 +270,97 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", toxic_sample:
         weight = F.log((F.col("toxic") + 0.5) / (n + 1)) - F.log((F.col("clean") + 0.5) / (m + 1))
         top = (by_word.filter((F.col("toxic") >= 3) & (F.length("word") >= 3)).withColumn("weight", weight)
                .filter(F.col("weight") >= MIN_WEIGHT).orderBy(F.col("toxic").desc(), "word").limit(4 * MAX_TERMS).collect())
-        terms = {r["word"]: r["weight"] for r in top
-                 if evidence(min(r["toxic"], n), n, min(r["clean"], m), m) >= MIN_EVIDENCE}
+        terms = {r["word"]: r["weight"] for r in top if says(r["toxic"], n, r["clean"], m, MIN_WEIGHT, MIN_EVIDENCE) and all(
+            says(k, n / 2, j, m / 2, HALF_WEIGHT, HALF_EVIDENCE) for k, j in halves(r))}
+        terms = own_stems(terms, {r["word"]: r["toxic"] for r in top})
         terms = dict(list(terms.items())[:MAX_TERMS])
         if not terms:
             return constant
-        ordinary = ordinary_words(by_word, terms)
+        variants = variant_words(by_word, terms)
     finally:
         by_word.unpersist()
-    model = {"terms": terms, "ordinary": ordinary}
-    data = np.array([tuple(r) for r in read_features(rows.select("y", "text"), "y int", model).collect()])
-    y = data[:, 0]  # N_FEATURES numbers of each sampled row
-    weights = np.where(y == 1, counts[1] / n, counts[0] / m)
-    model["logistic"] = fit_logistic(data[:, 1:], y, weights * len(y) / weights.sum())
-    return model
+    model = {"terms": terms, "ordinary": [v["word"] for v in variants if v["clean"]], "near": near_weights(variants, terms, n, m)}
+    part = (F.col("y") + 2 * F.pmod(F.xxhash64("doc_id"), F.lit(2))).cast("int").alias("part")
+
+    def calibrated(model: dict) -> tuple[float, dict]:
+        """(loss on each half of the rows when fitted on the other, model with its calibration on all)."""
+        data = np.array([tuple(r) for r in read_features(rows.select(part, "text"), "part int", model).collect()])
+        y, half, x = data[:, 0] % 2, data[:, 0] // 2, data[:, 1:]  # N_FEATURES numbers of each sampled row
+        weights = np.where(y == 1, counts[1] / n, counts[0] / m)
+        weights *= len(y) / weights.sum()
+        loss = 0.0
+        for h in (0, 1):
+            here = half == h
+            if here.all() or not here.any():
+                continue
+            p = np.clip(apply_logistic(fit_logistic(x[~here], y[~here], weights[~here]), x[here]), 1e-9, 1 - 1e-9)
+            loss -= (weights[here] * np.log(np.where(y[here] == 1, p, 1 - p))).sum()
+        return loss, model | {"logistic": fit_logistic(x, y, weights)}
+
+    # Misspellings count only if texts that the calibration has not seen are told better with them.
+    plain = calibrated(model | {"near": {}})
+    both = calibrated(model) if model["near"] else plain
+    return (both if both[0] < plain[0] else plain)[1]
+
+
+def own_stems(terms: dict[str, float], toxic: dict[str, int]) -> dict[str, float]:
+    """The terms without the stems that owe most of their texts to one term that is a word or a longer stem."""
+    def owed(stem: str) -> bool:
+        return any(t != stem and t.rstrip("*").startswith(stem[:-1]) and toxic[t] >= STEM_OWED * toxic[stem] for t in terms)
+
+    return {t: w for t, w in terms.items() if t[-1] != "*" or not owed(t)}
 
 
-def ordinary_words(by_word: DataFrame, terms: dict[str, float]) -> list[str]:
-    """Words of clean texts that the automaton would take for misspelled terms (most frequent first, bounded)."""
+def log_ratio(k: int, n: float, j: int, m: float) -> float:
+    return math.log((k + 0.5) / (n + 1)) - math.log((j + 0.5) / (m + 1))
+
+
+def says(k: int, n: float, j: int, m: float, weight: float, least: float) -> bool:
+    """Whether k of n toxic against j of m clean texts make a word a sign of toxicity."""
+    k, j = min(k, n), min(j, m)
+    return log_ratio(k, n, j, m) >= weight and evidence(k, n, j, m) >= least
+
+
+def halves(r) -> list[tuple[int, int]]:
+    """(toxic, clean) counts of a word in either half of the texts."""
+    return [(r["toxic_half"], r["clean_half"]), (r["toxic"] - r["toxic_half"], r["clean"] - r["clean_half"])]
+
+
+def variant_words(by_word: DataFrame, terms: dict[str, float]) -> list:
+    """The sample's words that the automaton takes for misspelled terms, with their counts and ``term``."""
 
     def run(batches):
         automaton = Automaton({t: w for t, w in terms.items() if t[-1] != "*"})
         for batch in batches:
-            near = [w not in terms and len(w) <= MAX_WORD and w[-1] != "*" and automaton.match(w) is not None
-                    for w in batch.column(0).to_pylist()]
-            yield batch.filter(pa.array(near, pa.bool_()))
+            found = [None if w in terms or w[-1] == "*" else automaton.match(w) for w in batch.column(0).to_pylist()]
+            named = batch.append_column("term", pa.array([f and f[0] for f in found], pa.string()))
+            yield named.filter(pa.array([f is not None for f in found], pa.bool_()))
+
+    names = ["word", "toxic", "clean", "toxic_half", "clean_half"]
+    return by_word.select(*names).mapInArrow(run, "word string, toxic long, clean long, toxic_half long, clean_half long, term string").collect()
+
 
-    seen = by_word.filter("clean > 0").select("word", "clean", "toxic").mapInArrow(run, "word string, clean long, toxic long")
-    return [r["word"] for r in seen.orderBy(F.col("clean").desc(), "word").limit(MAX_VARIANTS).collect()]
+def near_weights(variants: list, terms: dict[str, float], n: int, m: int) -> dict[str, float]:
+    """The weight of a misspelling of each term, from the variants in each half that the other half's
+    clean texts do not use; terms whose variants are no sign of toxicity are left out."""
+    seen: dict[str, list[int]] = {}
+    for v in variants:
+        one, two = halves(v)
+        total = seen.setdefault(v["term"], [0, 0])
+        for (k, j), (_, other) in ((one, two), (two, one)):
+            if not other:
+                total[0] += k
+                total[1] += j
+    return {t: min(log_ratio(k, n, j, m), terms[t]) for t, (k, j) in seen.items() if says(k, n, j, m, MIN_WEIGHT, MIN_EVIDENCE)}
 
 
 def read_features(rows: DataFrame, first: str, model: dict) -> DataFrame:
     """The first column of ``rows`` and the features of its second column, the text."""
     name = first.split()[0]
-    parts = {k: model[k] for k in ("terms", "ordinary")}
+    parts = {k: model[k] for k in ("terms", "ordinary", "near")}
 
     def run(batches):
-        reader = Reader(parts["terms"], set(parts["ordinary"]))
+        reader = Reader(parts["terms"], set(parts["ordinary"]), parts["near"])
         for batch in batches:
             if batch.num_rows:
                 found = np.array([reader.features(t.as_py() or "") for t in batch.column(1)])
@@ -310,7 +378,7 @@ def score(docs: DataFrame, model: dict, threshold: float = 0.5) -> DataFrame:
         scored = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(model["constant"]).alias("score"))
     else:
         def run(batches):
-            reader = Reader(model["terms"], set(model["ordinary"]))
+            reader = Reader(model["terms"], set(model["ordinary"]), model["near"])
             for batch in batches:
                 if batch.num_rows:
                     found = np.array([reader.features(t.as_py() or "") for t in batch.column(1)])
