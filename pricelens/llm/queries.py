@@ -44,7 +44,7 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = topk_segments.quantised_rows(read_table(spark, sf_dir, "embeddings"))
-    return topk_segments.top_k(rows.filter("vec_id % 100 = 0"), rows, k=10)
+    return topk_segments.top_k(rows.filter("vec_id % 100 = 0"), rows, k=10).select("query_id", "rank", "vec_id", "score")
 
 
 def op10_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
