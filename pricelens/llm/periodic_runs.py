@@ -14,7 +14,8 @@ Method, for all texts of a batch at once, laid one after another with a unique w
   by comparing hashes of halving lengths; an extension that gives 2 * q words is a run.
 * Two equal minima inside one known run whose period is at most the gram's length stand a
   multiple of its period apart and extend to that same run: such pairs are left out, which
-  keeps texts of one repeated word linear.
+  keeps texts of one repeated word linear. Of the pairs between two such runs of one period one
+  for each distance is extended.
 
 Runs from hashes are compared word by word before they count; a stretch found with several
 periods keeps the smallest.
@@ -107,7 +108,8 @@ def _known(runs: np.ndarray, size: int, gram: int) -> np.ndarray:
 
 
 def _pairs(values: np.ndarray, places: np.ndarray, inside: np.ndarray, low: int, high: int):
-    """Pairs of places with equal values, ``low`` to ``high - 1`` apart, not inside one known run."""
+    """(places, lags, known runs of both places) of pairs with equal values, ``low`` to ``high - 1``
+    apart, not inside one known run."""
     order = np.argsort(values, kind="stable")
     values, places, inside = values[order], places[order], inside[order]
     change = np.flatnonzero((values[1:] != values[:-1]) | (inside[1:] != inside[:-1]) | (inside[1:] < 0)) + 1
@@ -124,7 +126,7 @@ def _pairs(values: np.ndarray, places: np.ndarray, inside: np.ndarray, low: int,
             return
         far = lag >= low
         if far.any():
-            yield places[active[far]], lag[far]
+            yield places[active[far]], lag[far], inside[active[far]], inside[partner[far]]
         partner = partner + 1
 
 
@@ -138,7 +140,19 @@ def _scale_runs(levels: list[np.ndarray], scale: int, known: np.ndarray) -> np.n
     most = np.roll(_sliding(least, width, np.maximum), width - 1)
     places = np.flatnonzero(most == h)
     found = [np.empty((0, 3), np.int64)]
-    for place, lag in _pairs(h[places], places, _known(known, len(h), gram)[places], low, 2 * low):
+    seen: dict[int, np.ndarray] = {}
+    for place, lag, one, other in _pairs(h[places], places, _known(known, len(h), gram)[places], low, 2 * low):
+        # Between two known runs of one period all pairs of one lag extend alike: the first of them is enough.
+        new = np.ones(len(place), bool)
+        alike = (one >= 0) & (other >= 0)
+        alike[alike] = known[one[alike], 2] == known[other[alike], 2]
+        code = np.where(alike, one * len(known) + other, -1)
+        for c in np.unique(code[code >= 0]).tolist():
+            lags = seen.setdefault(c, np.zeros(2 * low, bool))
+            here = np.flatnonzero(code == c)
+            new[here] = ~lags[lag[here]]
+            lags[lag[here]] = True
+        place, lag = place[new], lag[new]
         ahead = _common(levels, place, place + lag, True)
         behind = _common(levels, place, place + lag, False)
         n = ahead + behind
