@@ -34,6 +34,7 @@ RATE_COL = "exploded_negotiated_rates"
 PRICES_COL = "exploded_negotiated_rates_negotiated_prices"
 REF_COL = "exploded_negotiated_rates_provider_references"
 NPI_BYTES = 8
+REFERENCES_TOGETHER = 16  # references of a rate that are placed as one row
 ITEM_COLUMNS = ["billing_code", "billing_code_type", "billing_code_type_version", "description", "name"]
 
 
@@ -75,6 +76,19 @@ def rate_references(in_network: DataFrame, extra: list[str] | None = None, keep_
     return unnest(rates, F.col(f"{RATE_COL}.provider_references"), REF_COL, keep=keep, keep_empty=keep_empty)
 
 
+def placed_references(rates: DataFrame, place: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The output of ``explode_rates`` after a placement: a row for up to ``REFERENCES_TOGETHER`` references
+    of a rate, so a rate's prices are shuffled once for that many of them and a rate with thousands of
+    references still goes to several partitions. Rates without references drop out."""
+    refs = F.col(f"{RATE_COL}.provider_references")
+    firsts = F.sequence(F.lit(1), F.size(refs), F.lit(REFERENCES_TOGETHER))
+    groups = F.when(F.size(refs) > 0, F.transform(firsts, lambda k: F.slice(refs, k, REFERENCES_TOGETHER)))
+    keep = [c for c in rates.columns if c != RATE_COL]
+    rows = rates.select(*keep, F.col(f"{RATE_COL}.negotiated_prices").alias(PRICES_COL), F.explode(groups).alias(REF_COL))
+    return place(rows).select(*keep, F.struct(F.col(PRICES_COL).alias("negotiated_prices"),
+                                              F.col(REF_COL).alias("provider_references")).alias(RATE_COL))
+
+
 def used_references(in_network: DataFrame) -> DataFrame:
     """Distinct (document, reference) pairs. Reads only the references leaf of the
     nested column; the distinct is pre-aggregated on the map side, so a reference
@@ -96,13 +110,17 @@ def _join_providers(pb: DataFrame, rates: DataFrame, how: str, small: bool) -> D
 
 
 def join_rates_providers(base: DataFrame, providers: DataFrame, in_network: DataFrame,
-                         keep_unmatched: bool = False, counter=None) -> DataFrame:
+                         keep_unmatched: bool = False, counter=None,
+                         cluster_by: str | Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """J2a (and J3 with ``keep_unmatched``): rate references joined with providers and
     header, prices still an array. Unknown references keep NULL provider columns;
     with ``keep_unmatched`` providers that no rate uses are added with NULL rate
     columns, and items without rates or references stay as NULL rows.
 
     The provider side is broadcast when the statistics bound its bytes, headers included.
+
+    ``cluster_by`` places the result. A placement by counted rows comes before the references are
+    exploded where the join does not move rows afterwards.
     """
     if counter is not None and keep_unmatched:
         raise ValueError("stage counts are kept for the rate flatten without unmatched rows")
@@ -111,6 +129,9 @@ def join_rates_providers(base: DataFrame, providers: DataFrame, in_network: Data
     small = fits_broadcast(providers, widened=pb)  # one row for each provider
     marked = _mark(counter, "in_network", in_network)
     rates = _mark(counter, "rates_exploded", explode_rates(marked, keep_empty=keep_unmatched))
+    early = callable(cluster_by) and small and not keep_unmatched
+    if early:
+        rates = placed_references(rates, cluster_by)
     refs = _mark(counter, "references_exploded", rate_references(marked, keep_empty=keep_unmatched, rates=rates))
     joined = _join_providers(pb, refs, "right", small).select(
         F.col(f"r.{DOC_KEY}").alias(DOC_KEY),
@@ -123,6 +144,10 @@ def join_rates_providers(base: DataFrame, providers: DataFrame, in_network: Data
         lonely = pb.join(used_references(in_network).withColumnRenamed(REF_COL, "provider_group_id"),
                          [DOC_KEY, "provider_group_id"], "left_anti")
         joined = joined.unionByName(lonely, allowMissingColumns=True)
+    if cluster_by and not early:
+        # Cluster for the write before prices multiply the rows: the shuffle moves
+        # one row per reference with its price array, not one wide row per price.
+        joined = _clustered(joined, cluster_by)
     return _mark(counter, "joined", joined)
 
 
@@ -141,11 +166,7 @@ def flatten_rates(base: DataFrame, providers: DataFrame, in_network: DataFrame,
     providers no rate uses; rates whose reference is unknown keep NULL provider
     and header columns. Q3 keeps every one of those rows, with NULLs.
     """
-    joined = join_rates_providers(base, providers, in_network, keep_unmatched, counter)
-    if cluster_by:
-        # Cluster for the write before prices multiply the rows: the shuffle moves
-        # one row per reference with its price array, not one wide row per price.
-        joined = _clustered(joined, cluster_by)
+    joined = join_rates_providers(base, providers, in_network, keep_unmatched, counter, cluster_by)
     keep = [DOC_KEY, *BASE_FIELDS, "provider_group_id", *ITEM_COLUMNS, REF_COL, "negotiation_arrangement"]
     out = unnest(joined, PRICES_COL, PRICES_COL, keep=keep, keep_empty=keep_unmatched)
     cols = ([DOC_KEY] if keep_source else []) + RATES_COLUMNS
@@ -187,16 +208,20 @@ def flatten_npi_rates(base: DataFrame, providers: DataFrame, in_network: DataFra
     group, npi). Rates with an unknown reference have no npi and drop out, so the
     join is inner."""
     pn = npi_providers(base, providers)
-    rates = rate_references(in_network, extra=["covered_services"])
     # A group may carry thousands of npis, so the bound is taken on the npis' own bytes.
     groups = providers.select(DOC_KEY, "provider_group_id", "provider_groups")
     small = fits_broadcast(groups, widened=pn, least_row=NPI_BYTES)
+    rates = explode_rates(in_network, extra=["covered_services"])
+    early = callable(cluster_by) and small
+    if early:
+        rates = placed_references(rates, cluster_by)
+    rates = rate_references(in_network, extra=["covered_services"], rates=rates)
     joined = _join_providers(pn, rates, "inner", small).select(
         F.col(f"r.{DOC_KEY}"), *[F.col(f"p.{c}") for c in BASE_FIELDS],
         F.col("p.provider_group_id"), "p.npi", "p.tin_type", "p.tin",
         *[F.col(f"r.{c}") for c in ITEM_COLUMNS], "r.covered_services",
         F.col(f"r.{PRICES_COL}"), "r.negotiation_arrangement")
-    if cluster_by:
+    if cluster_by and not early:
         joined = _clustered(joined, cluster_by)
     keep = [c for c in joined.columns if c != PRICES_COL]
     out = unnest(joined, PRICES_COL, PRICES_COL, keep=keep)
