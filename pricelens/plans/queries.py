@@ -139,7 +139,9 @@ def _written_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K3: Q2 written partitioned by code and bucketed by type, read back from the catalog."""
     b, p, i = _tables(spark, sf_dir)
     name = _table_name("rates")
-    layout.write_rates(fl.flatten_rates(b, p, i), name, scratch_dir(spark, name))
+    rates = fl.flatten_rates(b, p, i, cluster_by=layout.by_code)
+    with session_conf(spark, layout.PLACED_SIZE):
+        layout.write_rates(rates, name, scratch_dir(spark, name), rebalance=None)
     return spark.table(name)
 
 
