@@ -88,6 +88,22 @@ def test_a_pruned_model_keeps_the_frequent_grams(spark):
         assert len(grams) <= 20 and set(grams) == set(all_grams[all_n >= 1 << (int(least).bit_length() - 1)])
 
 
+@pytest.mark.parametrize("grams", [0, 60, 120])
+def test_grams_that_are_not_broadcast_count_too(spark, grams):
+    rows = corpus() + [(500, "ж" * 50 + " déjà", None), (501, None, "x"), (501, "12", "x"), (502, "straße Ünseen", None),
+                       (503, "zyx", "w"), (503, "zyx", "w"), (504, "zyx", "w"), (None, "the 1 ż ż", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    whole, small = ppm.fit(docs), ppm.fit(docs, grams=grams)
+    assert whole["counts"] is None and small["counts"] is not None
+    assert sum(len(g) for g, _ in small["trees"]) <= grams and small["langs"] == whole["langs"]
+
+    def found(model):
+        return sorted((str(r.doc_id), r.held_out, r.lang_pred, round(r.score, 9), round(r.bits, 6))
+                      for r in ppm.predict(docs, model).collect())
+
+    assert found(small) == found(whole)
+
+
 def test_degenerate_tables(spark):
     schema = "doc_id long, text string, lang string, held_out string, bits int, gram string"
     extra = ("h", 1, "g")
