@@ -1,0 +1,68 @@
+"""The fixture's items as text: the rows of the nested fixture, in whatever batches they come."""
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from conftest import SF_SMALL
+from pricelens.plans import queries
+from pricelens.schemas import DOC_KEY, IN_NETWORK_TABLE
+from pricelens.session import session_conf
+from pricelens.sources import fixtures, raw_json
+from test_fixture_growth import _sales_dir
+
+ITEM = StructType([f for f in IN_NETWORK_TABLE.fields if f.name != DOC_KEY])
+
+
+def _both(spark, sf_dir):
+    """The items as (part, chunk, row), from nested rows and from text."""
+    nested = fixtures.fixture_in_network(spark, sf_dir, keep_keys=True).withColumn("j", F.to_json(F.struct(*ITEM.names)))
+    texts = fixtures.document_items(spark, sf_dir).withColumnRenamed("json", "j")
+    return [d.select("p_partkey", "chunk", F.from_json("j", ITEM).alias("item")) for d in (nested, texts)]
+
+
+@pytest.mark.parametrize("rows", ["1", "3", "10000"])
+def test_items_as_text_are_the_nested_rows(spark, tmp_dir, rows):
+    with session_conf(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": rows}):
+        for made in (_sales_dir(tmp_dir), _odd_dir(spark, tmp_dir + "/odd")):
+            nested, texts = _both(spark, made)
+            assert texts.count() == nested.count() > 0
+            assert nested.exceptAll(texts).isEmpty() and texts.exceptAll(nested).isEmpty()
+
+
+def _odd_dir(spark, path):
+    """Sales with NULL and odd values in two order ranges, a part that comes twice, one without a key."""
+    part = spark.read.parquet(f"{SF_SMALL}/part.parquet").limit(3)
+    keys = [0, 0, 1, None, 7]
+    (spark.createDataFrame([(k,) for k in keys], "p_partkey long").crossJoin(part.drop("p_partkey").limit(1))
+     .select(part.columns).write.parquet(f"{path}/part.parquet"))
+    sales = []
+    for key in (0, 1, 1, None, 9):
+        for order in (1, 1 << 20, None):
+            for flag in ("A", None):
+                for price in (1.5, 2.0, 10.0, 1e22, -0.0, float("nan"), float("inf"), None):
+                    for number, status, day in ((1, "O", "1995-01-02"), (1, "F", None), (2, None, "1995-01-02"), (123, "X", "1995-01-02"), (None, "O", "1999-12-31")):
+                        sales.append((order, key, 5 if number == 1 else None if number == 2 else 3, number, price, flag, status, day))
+    (spark.createDataFrame(sales, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_extendedprice double, "
+                                  "l_returnflag string, l_linestatus string, l_shipdate string")
+     .withColumn("l_shipdate", F.to_timestamp("l_shipdate")).repartition(3).write.mode("overwrite").parquet(f"{path}/lineitem.parquet"))
+    return path
+
+
+def test_documents_are_built_from_narrow_rows(spark):
+    plan = fixtures.document_items(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Aggregate" not in plan and "Join" not in plan, plan
+
+
+def test_file_names_are_not_matched_for_each_piece(spark, tmp_dir):
+    with open(f"{tmp_dir}/a.json", "w") as f:
+        f.write("{}")
+    assert "RLIKE" not in raw_json._pieces(spark, tmp_dir)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_json_prefixes_are_compressed_and_join_without_sorting(spark):
+    with session_conf(spark, {"pricelens.broadcast.maxBytes": "0", "spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        found = queries.q_npi_rates_json_prefix(spark, SF_SMALL)
+        assert all(f.endswith(".gz") for f in found.inputFiles())
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "ShuffledHashJoin [source_file" in plan, plan
