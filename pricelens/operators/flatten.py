@@ -207,10 +207,11 @@ def inline_npi_rates(base: DataFrame, in_network: DataFrame) -> DataFrame:
 
 def flatten_npi_rates(base: DataFrame, providers: DataFrame, in_network: DataFrame,
                       keep_source: bool = False, include_inline: bool = False,
-                      cluster_by: str | Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+                      cluster_by: str | Callable[[DataFrame], DataFrame] | None = None,
+                      hash_providers: bool = False) -> DataFrame:
     """Q4: 22-column table, one row per (rate element, reference, price, provider
     group, npi). Rates with an unknown reference have no npi and drop out, so the
-    join is inner."""
+    join is inner. ``hash_providers``: as in ``join_rates_providers``."""
     pn = npi_providers(base, providers)
     # A group may carry thousands of npis, so the bound is taken on the npis' own bytes.
     groups = providers.select(DOC_KEY, "provider_group_id", "provider_groups")
@@ -220,7 +221,7 @@ def flatten_npi_rates(base: DataFrame, providers: DataFrame, in_network: DataFra
     if early:
         rates = placed_references(rates, cluster_by)
     rates = rate_references(in_network, extra=["covered_services"], rates=rates)
-    joined = _join_providers(pn, rates, "inner", small).select(
+    joined = _join_providers(pn.hint("shuffle_hash") if hash_providers and not small else pn, rates, "inner", small).select(
         F.col(f"r.{DOC_KEY}"), *[F.col(f"p.{c}") for c in BASE_FIELDS],
         F.col("p.provider_group_id"), "p.npi", "p.tin_type", "p.tin",
         *[F.col(f"r.{c}") for c in ITEM_COLUMNS], "r.covered_services",

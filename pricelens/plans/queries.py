@@ -21,7 +21,7 @@ from ..operators import contract
 from ..schemas import RAW_DOCUMENT_NUMBERS
 from ..sources.fixtures import dirty_tables, fixture_tables, inline_group_in_network, write_fixture_documents
 from ..sources.raw_json import extract, extract_to_tables, read_documents, unreadable_documents
-from ..sources.tables import NPI_NEEDS, RATES_NEEDS, read_prefixes, read_tables, write_tables
+from ..sources.tables import ITEMS_PER_FILE, NPI_NEEDS, RATES_NEEDS, read_prefixes, read_tables, write_tables
 from . import layout, lookup
 from .report import StageCounter, sample_rows
 
@@ -441,7 +441,10 @@ def _plain_prefixes(spark: SparkSession, sf_dir: str, fmt: str, needs: dict):
     paths = []
     for name, df in zip(("base", "providers", "in_network"), _tables(spark, sf_dir)):
         paths.append(scratch_dir(spark, f"plain-{name}"))
-        df.drop(DOC_KEY).write.format(fmt).save(paths[-1])
+        writer = df.drop(DOC_KEY).write.format(fmt)
+        if fmt == "json":  # as text the items take about ten times as much disk; a gzip file is one split, so files are kept small
+            writer = writer.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").option("maxRecordsPerFile", ITEMS_PER_FILE)
+        writer.save(paths[-1])
     return read_prefixes(spark, *paths, needs, fmt)
 
 
@@ -464,7 +467,7 @@ def q_flatten_rates_shared_prefix(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def q_npi_rates_json_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return arrays_as_text(fl.flatten_npi_rates(*_plain_prefixes(spark, sf_dir, "json", NPI_NEEDS)))
+    return arrays_as_text(fl.flatten_npi_rates(*_plain_prefixes(spark, sf_dir, "json", NPI_NEEDS), hash_providers=True))
 
 
 def q_base_files_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
